@@ -16,20 +16,26 @@ def normalize_date(c: Column) -> Column:
     impossible dates give NULL. Epochs fall on the day of the session time zone.
     """
     text = F.trim(c)
-    plain = F.translate(text, "/T", "- ")
+    plain = F.replace(F.replace(text, F.lit("/"), F.lit("-")), F.lit("T"), F.lit(" "))
     day = F.left(plain, F.lit(10))
+    digits = F.regexp_replace(text, "^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
     return (
         F.when(text.isin(*C.ZERO_DATES), None)
-        .when(text.rlike("^[0-9]{8}$"), F.try_to_date(F.left(text, F.lit(8)), "yyyyMMdd"))
-        .when(day.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(day, "yyyy-MM-dd"))
+        .when(text.rlike("^[0-9]{8}$"), _day(F.left(digits, F.lit(10))))
+        .when(day.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), _day(day))
         .when(
             plain.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}" + _CLOCK_TAIL + "$"),
-            F.try_to_date(F.substring_index(plain, " ", 1), "yyyy-M-d"),
+            _day(F.substring_index(plain, " ", 1)),
         )
         .when(text.rlike("^[0-9]{10}$"), _day_of_epoch(F.left(text, F.lit(10))))
         .when(text.rlike("^[0-9]{13}$"), _day_of_epoch(F.left(text, F.lit(10))))
     )
 
 
+def _day(text: Column) -> Column:
+    """Date of text whose shape is known; a cast is several times faster than a format parser."""
+    return text.try_cast("date")
+
+
 def _day_of_epoch(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds.try_cast("bigint")).cast("date")

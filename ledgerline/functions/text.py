@@ -35,7 +35,8 @@ def multi_value(c: Column, also: str = "") -> Column:
     text = F.trim(c)
     for mark in "," + also:
         text = F.replace(text, F.lit(mark), F.lit(";"))
-    return F.nullif(F.regexp_replace(text, f"{SPACE}*;{SPACE}*", ";"), F.lit(""))
+    # Only marks that do have space beside them are replaced.
+    return F.nullif(F.regexp_replace(text, f"{SPACE}+;{SPACE}*|;{SPACE}+", ";"), F.lit(""))
 
 
 def unclassified_if_design(patent_type: Column, value: Column) -> Column:

@@ -36,13 +36,8 @@ def number_rows(
     before = before.withColumn("_before", F.sum("_n").over(in_group) - F.col("_n"))
     added = ["_before"]
     if total:
-        totals = (
-            before.groupBy(*groups)
-            .agg(F.sum("_n").alias("_size"))
-            .withColumn("_base", F.sum("_size").over(Window.orderBy(*groups)) - F.col("_size"))
-            .drop("_size")
-        )
-        before = before.join(totals, groups)
+        overall = Window.orderBy(*place)
+        before = before.withColumn("_base", F.sum("_n").over(overall) - F.col("_n"))
         added.append("_base")
     order = Window.partitionBy(*place).orderBy(seq, *(ties or []))
     numbered = ranged.withColumn("_in_range", F.row_number().over(order)).join(
@@ -50,10 +45,10 @@ def number_rows(
     )
     names = df.columns
     result = [F.col(c) for c in names]
-    number = (F.col("_before") + F.col("_in_range")).cast("bigint")
-    result.append(number.alias(out))
+    in_range = F.col("_in_range")
+    result.append((F.col("_before") + in_range).cast("bigint").alias(out))
     if total:
-        result.append((F.lit(start) + F.col("_base") + number).cast("bigint").alias(total))
+        result.append((F.lit(start) + F.col("_base") + in_range).cast("bigint").alias(total))
     return numbered.select(*result)
 
 

@@ -93,7 +93,10 @@ def hot_split_join(
         .limit(hot_keys)
         .select(*keys, F.struct(*values).alias("_hot"))
     )
-    cold = lookup.select(*keys, F.lit(0).alias("_place"), F.struct(*values).alias("_cold"))
+    # Always 0, but not a literal: a literal would be folded out of the join keys, and the rows
+    # spread by ``_place`` would fall together again.
+    zero = F.pmod(F.col(weight), F.lit(1)).cast("int")
+    cold = lookup.select(*keys, zero.alias("_place"), F.struct(*values).alias("_cold"))
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .. import schemas
-from .inputs import DICTIONARY_ROWS, RAW_TEMPLATE
+from .inputs import DICTIONARY_ROWS, RAW_TEMPLATE, ROWS_TEMPLATE
 
 _CTES: dict[str, str] = {}
 
@@ -53,12 +53,13 @@ def _cte(name: str, sql: str) -> None:
     _CTES[name] = sql
 
 
+_cte("rows", ROWS_TEMPLATE.format(orders="orders", customer="customer", nation="nation"))
 _cte(
     "raw",
     RAW_TEMPLATE.replace(
-        "{row_number}",
-        "CAST(row_number() OVER (PARTITION BY k % 10 ORDER BY k) AS BIGINT) AS _row_num",
-    ).format(orders="orders", customer="customer", nation="nation"),
+        "{numbers}",
+        "CAST(row_number() OVER (PARTITION BY file ORDER BY k) AS BIGINT) AS _row_num",
+    ).format(rows="rows"),
 )
 for _name, (_columns, _rows) in DICTIONARY_ROWS.items():
     _cte(_name, f"SELECT * FROM (VALUES {_rows}) t({_columns})")
@@ -99,7 +100,7 @@ _LANGUAGE_JOIN = """LEFT JOIN dict_language u1 ON r.language = u1.iso639_2
 _cte("stage", f"""SELECT
   row_number() OVER (ORDER BY r._source_file, r._row_num) AS stage_id,
   r.batch_id, 'ods_patents' AS src_table, r._source_file, r._row_num,
-  {_VALID.replace('is_valid', 'is_valid')} AS is_valid, {_REASON} AS invalid_reason,
+  {_VALID} AS is_valid, {_REASON} AS invalid_reason,
   id AS patent_id, trim(title, ' ') AS patent_name, patenttype AS patent_type,
   s.standard_value AS legal_status, legalstatus AS legal_detail_status,
   coalesce(u1.iso639_1, u2.iso639_1) AS language, {_NUMBER} AS patent_no,

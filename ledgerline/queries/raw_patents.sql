@@ -52,7 +52,6 @@ SELECT
   CASE WHEN k % 9 = 0 THEN 'loader' ELSE NULL END AS created_by,
   CAST(NULL AS STRING) AS updated_by,
   CASE WHEN k % 10 < 8 THEN 'batch_1' ELSE 'batch_2' END AS batch_id,
-  concat('f', CAST(k % 10 AS STRING), '.csv') AS _source_file,
-  {row_number}
-FROM (SELECT o.o_orderkey AS k, CAST(CAST(o.o_orderdate AS DATE) AS STRING) AS d, o.*, c.c_name, c.c_mktsegment, c.c_nationkey, n.n_name
-      FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey) b
+  file AS _source_file,
+  {numbers}
+FROM {rows} b
