@@ -103,17 +103,17 @@ def shift_ids(df: DataFrame, key: str, offset: int, old_max: int) -> DataFrame:
 def shift_bounds(previous: DataFrame, current: DataFrame, key: str = "stage_id"):
     """(offset, highest id not yet moved) for placing ``current`` behind ``previous``.
 
-    Raises if ``previous`` is empty, and if ``current`` has ids on both sides of the offset: a
-    shift is one whole rewrite, so that means the id ranges overlap.
+    A moved id is above the offset, so all ids up to it were not moved yet. Raises if ``previous``
+    is empty, and if ``current`` has ids on both sides of the offset: a shift is one whole
+    rewrite, so that means the id ranges overlap.
     """
     offset = max_key(previous, key)
     if offset <= 0:
         raise ValueError("the table in front is empty: there is no offset to shift by")
-    old_max, ahead, equal = current.agg(
-        F.coalesce(F.max(F.when(F.col(key) < offset, F.col(key))), F.lit(0)),
-        F.count(F.when(F.col(key) > offset, 1)),
-        F.count(F.when(F.col(key) == offset, 1)),
+    waiting = F.when(F.col(key) <= offset, F.col(key))
+    old_max, moved = current.agg(
+        F.coalesce(F.max(waiting), F.lit(0)), F.count(F.when(F.col(key) > offset, 1))
     ).first()
-    if equal or (old_max and ahead):
+    if old_max and moved:
         raise ValueError(f"ids lie on both sides of the offset {offset}: the ranges overlap")
     return offset, old_max

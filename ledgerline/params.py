@@ -34,8 +34,9 @@ class Params:
     done_log: str = "stage_file_done"
     run_log: str = "run_log"
     mode: str = "all_not_success"
-    delete_before_insert: bool = False
+    delete_before_insert: bool = True
     max_files: int | None = None
+    start_after: tuple[str, ...] = ()
     rules: tuple[str, ...] = CLEAN_RULES
     duplicate_reason: str = C.REASON_DUPLICATE
     default_user: str = C.DEFAULT_USER

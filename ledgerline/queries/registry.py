@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C, functions as G, schemas
 from ..operators import audit, dedup, ids, upsert, worklist
 from ..plans import clean as rules, finalize, split
-from ..sources.dictionaries import Dictionaries
+from ..plans.ingest import ingest
+from ..plans.jobs import run_steps
+from ..sources.csv_files import read_csv, write_csv
+from ..sources.scratch import scratch_folder, written
+from ..sources.tables import Tables
 from . import inputs
 from .inputs import PARAMS, dictionaries, raw, stage, unnumbered, without_run_times
 
@@ -190,12 +195,9 @@ def _with_sizes(cleaned: DataFrame) -> DataFrame:
     return cleaned.withColumn("file_size", size)
 
 
-def _valid(spark, sf_dir) -> DataFrame:
-    return split.split_valid(_with_sizes(_cleaned(spark, sf_dir)))
-
-
-def _invalid(spark, sf_dir) -> DataFrame:
-    return split.split_invalid(_with_sizes(_cleaned(spark, sf_dir)))
+def _stored(spark, sf_dir) -> DataFrame:
+    """The cleaned batch as the Stage table that both branches read."""
+    return written(_with_sizes(_cleaned(spark, sf_dir)), "stage")
 
 
 def _checked(valid: DataFrame) -> DataFrame:
@@ -206,58 +208,55 @@ def _checked(valid: DataFrame) -> DataFrame:
 
 @query
 def split_valid(spark, sf_dir):
-    return without_run_times(_valid(spark, sf_dir))
+    return without_run_times(split.split_valid(_with_sizes(_cleaned(spark, sf_dir))))
 
 
 @query
 def split_invalid(spark, sf_dir):
-    return without_run_times(_invalid(spark, sf_dir))
+    return without_run_times(split.split_invalid(_with_sizes(_cleaned(spark, sf_dir))))
 
 
 @query
 def final_valid(spark, sf_dir):
-    return finalize.final_valid(_checked(_valid(spark, sf_dir)), PARAMS)
+    valid = split.split_valid(_with_sizes(_cleaned(spark, sf_dir)))
+    return finalize.final_valid(_checked(valid), PARAMS)
 
 
 @query
 def final_invalid(spark, sf_dir):
-    invalid = _invalid(spark, sf_dir)
-    late = finalize.failed_checks(_checked(_valid(spark, sf_dir)), invalid, PARAMS, unique=True)
+    stored = _stored(spark, sf_dir)
+    valid, invalid = _checked(split.split_valid(stored)), split.split_invalid(stored)
+    late = finalize.failed_checks(valid, invalid, PARAMS, unique=True)
     return finalize.final_invalid(invalid.unionByName(late), PARAMS)
 
 
 def _two_partitions(spark, sf_dir) -> list[DataFrame]:
-    """Each batch as a partition of its own, with ids from 1."""
+    """Each batch as a partition table of its own, with ids from 1."""
     rows = stage(spark, sf_dir).select("stage_id", "batch_id", "patent_id", "patent_name",
                                        "is_valid", "_source_file", "_row_num")
-    rows = rows.withColumn("_key", F.col("stage_id")).drop("stage_id")
-    parts = []
-    for batch in ("batch_1", "batch_2"):
-        part = rows.where(F.col("batch_id") == batch).withColumn("_all", F.lit(batch))
-        numbered = ids.number_rows(part, ["_all"], "_key", "stage_id")
-        parts.append(numbered.drop("_all", "_key"))
-    return parts
+    rows = rows.withColumnRenamed("stage_id", "_key")
+    numbered = written(ids.number_rows(rows, ["batch_id"], "_key", "stage_id"), "partitions")
+    numbered = numbered.drop("_key")
+    return [numbered.where(F.col("batch_id") == b) for b in ("batch_1", "batch_2")]
 
 
 @query
 def shift_ids_rerun(spark, sf_dir):
-    """The second partition behind the first; moving it again changes nothing."""
+    """The second partition behind the first; a second run changes nothing."""
     first, second = _two_partitions(spark, sf_dir)
-    offset, old_max = ids.max_key(first, "stage_id"), ids.max_key(second, "stage_id")
-    once = ids.shift_ids(second, "stage_id", offset, old_max)
-    return ids.shift_ids(once, "stage_id", offset, old_max)
+    for _ in range(2):
+        second = ids.shift_ids(second, "stage_id", *ids.shift_bounds(first, second))
+    return second
 
 
 @query
 def merge_partitions(spark, sf_dir):
     """Both partitions in one table with ids that do not repeat."""
     first, second = _two_partitions(spark, sf_dir)
-    offset, old_max = ids.max_key(first, "stage_id"), ids.max_key(second, "stage_id")
-    tagged = [
-        first.withColumn("data_source", F.lit("A")),
-        ids.shift_ids(second, "stage_id", offset, old_max).withColumn("data_source", F.lit("D")),
-    ]
-    return finalize.merge_sources(*tagged)
+    second = ids.shift_ids(second, "stage_id", *ids.shift_bounds(first, second))
+    return finalize.merge_sources(
+        first.withColumn("data_source", F.lit("A")), second.withColumn("data_source", F.lit("D"))
+    )
 
 
 @query
@@ -354,7 +353,7 @@ def file_audit(spark, sf_dir):
 
 @query
 def conservation(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir)
+    cleaned = _stored(spark, sf_dir)
     valid, invalid = split.split_valid(cleaned), split.split_invalid(cleaned)
     return audit.conservation(cleaned, valid, invalid)
 
@@ -369,3 +368,57 @@ def key_ranges(spark, sf_dir):
 @query
 def run_totals(spark, sf_dir):
     return audit.run_totals(_file_log(spark, sf_dir))
+
+
+# ---- folders, logs and whole runs ----
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """All raw rows written as CSV files and read back."""
+    folder = scratch_folder(spark, "round-trip")
+    write_csv(unnumbered(spark, sf_dir).select(*schemas.RAW_COLUMNS), folder)
+    return read_csv(spark, folder).select(*schemas.RAW_COLUMNS)
+
+
+def _loaded(spark, sf_dir) -> tuple[Tables, DataFrame]:
+    """Tables after a CSV folder with all raw rows was loaded, and again without new files."""
+    root = scratch_folder(spark, "tables")
+    write_csv(unnumbered(spark, sf_dir).select(*schemas.RAW_COLUMNS), f"{root}/csv")
+    tables = Tables(spark, root)
+    ingest(tables, PARAMS, f"{root}/csv", "full")
+    later = replace(PARAMS, run_ts=PARAMS.run_ts + timedelta(hours=1))
+    ingest(tables, later, f"{root}/csv", "resume")
+    return tables, tables.read(PARAMS.file_log, schemas.FILE_LOG)
+
+
+@query
+def ingest_resume(spark, sf_dir):
+    """Rows by batch and status after a full load and a resumed one that finds no open file."""
+    _, log = _loaded(spark, sf_dir)
+    return log.groupBy("batch_id", "status").agg(
+        F.sum("rows_loaded").cast("bigint").alias("rows_loaded"),
+        F.max((F.col("created_at") != F.col("updated_at")).cast("int")).alias("loaded_twice"),
+    )
+
+
+@query
+def default_steps(spark, sf_dir):
+    """All steps over a loaded folder, run twice: rows by table and verdict."""
+    tables, _ = _loaded(spark, sf_dir)
+    steps = "ods2stage,stage_clean,split,final_instock,final_unqualified"
+    for _ in range(2):
+        run_steps(tables, dictionaries(spark), PARAMS, steps)
+    counts = []
+    for name, schema, verdict in (
+        (PARAMS.stage_table, schemas.STAGE, F.col("is_valid")),
+        (PARAMS.valid_table, schemas.PART, F.col("is_valid")),
+        (PARAMS.invalid_table, schemas.PART, F.col("is_valid")),
+        (PARAMS.final_valid_table, schemas.FINAL_VALID, F.lit(1)),
+        (PARAMS.final_invalid_table, schemas.FINAL_INVALID, F.lit(0)),
+    ):
+        rows = tables.read(name, schema).groupBy(verdict.alias("is_valid"))
+        counts.append(
+            rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(name))
+        )
+    return finalize.merge_sources(*counts)

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, functions as F
 
 from .. import constants as C
+from ..operators.audit import repeated_lookup_keys
 from ..operators.joins import fits_broadcast, lookup_join
 
 
@@ -17,6 +18,7 @@ class Dictionaries:
     store: DataFrame
     country: DataFrame
     _small: dict[str, bool] = field(default_factory=dict)
+    _repeats: bool | None = None
 
     def small(self, name: str) -> bool:
         """Whether a dictionary may be broadcast: measured once, before its first join."""
@@ -24,6 +26,20 @@ class Dictionaries:
             self._small[name] = fits_broadcast(getattr(self, name))
         return self._small[name]
 
+    def multiplies_rows(self) -> bool:
+        """Whether a repeated entry makes more than one Stage row of a raw row."""
+        if self._repeats is None:
+            status = self.mapping.where(
+                (F.col("dict_code") == C.LEGAL_STATUS_DICT) & (F.col("is_valid") == 1)
+            )
+            checks = [
+                repeated_lookup_keys(status, ["source_value"]).dropna(),
+                repeated_lookup_keys(self.language, ["iso639_2"]).dropna(),
+                repeated_lookup_keys(self.language, ["iso639_2_b"]).dropna(),
+            ]
+            self._repeats = any(not c.isEmpty() for c in checks)
+        return self._repeats
+
     def store_of(self, table_id: str) -> Row:
         """The one store entry of a partition. None or several would lose or repeat all rows."""
         rows = self.store.where(F.col("table_id") == table_id).take(2)

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ledgerline-")
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named in ``spark.checkpoint.dir``.
 
     Only where that setting is missing (a local test) a temporary folder takes its place.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.upsert import upsert_rows
@@ -19,17 +21,14 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def exists(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return path.getFileSystem(conf).exists(path)
-
     def read(self, name: str, schema: T.StructType) -> DataFrame:
-        if not self.exists(name):
+        try:
+            rows = self.spark.read.schema(schema).parquet(self.path(name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
-        names = schema.fieldNames()
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*names)
+        return rows.select(*schema.fieldNames())
 
     def append(self, df: DataFrame, name: str, by: str) -> None:
         df.write.mode("append").partitionBy(by).parquet(self.path(name))
@@ -43,12 +42,16 @@ class Tables:
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(by).parquet(self.path(name))
 
-    def drop_partition(self, name: str, by: str, value: str) -> None:
-        """Remove one partition whose last row is gone (a dynamic overwrite cannot empty it)."""
-        jvm = self.spark.sparkContext._jvm
-        escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name), f"{by}={escaped(value)}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def empty_partition(self, name: str, schema: T.StructType, by: str, value: str) -> None:
+        """Take the last rows out of a partition (a dynamic overwrite cannot empty one)."""
+        rows = self.read(name, schema).where(F.col(by) == value)
+        if rows.isEmpty():
+            return
+        first_file = rows.select("_metadata.file_path").first()[0]
+        folder = unquote(first_file.rsplit("/", 1)[0])
+        kept = T.StructType([f for f in schema.fields if f.name != by])
+        none = self.spark.createDataFrame([], kept)
+        none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
     def upsert(
         self, df: DataFrame, name: str, schema: T.StructType, keys: list[str],
