@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import TypeVar
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, functions as F
-from py4j.protocol import Py4JError
 
 from .. import constants as C, schemas
 from ..operators.upsert import delete_files
@@ -44,14 +44,15 @@ def files_to_load(
     before and still exist, oldest first (``rerun_failed``)."""
     if mode not in INGEST_MODES:
         raise ValueError(f"mode must be one of {INGEST_MODES}, not {mode!r}")
+    columns = files.columns
     if mode == "rerun_failed":
         failed = log.where(F.col("status") == C.STATUS_FAILED).select("file_path", "updated_at")
-        return files.join(failed, "file_path").orderBy("updated_at").drop("updated_at")
+        return files.join(failed, "file_path").orderBy("updated_at").select(*columns)
     if mode == "resume" and skip_unchanged:
         keys = ["file_path", "file_size", "file_mtime"]
         loaded = log.where(F.col("status") == C.STATUS_OK)
         loaded = loaded.withColumn("file_mtime", F.date_trunc("second", "file_mtime"))
-        return files.join(loaded.select(*keys), keys, "left_anti").orderBy("file_path")
+        return files.join(loaded.select(*keys), keys, "left_anti").select(*columns).orderBy("file_path")
     return files
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import constants as C, schemas
 from ..operators.joins import fits_broadcast, hot_split_join
@@ -13,6 +13,11 @@ _FIELD = r'(?:"(?:[^"]|"")*+"|[^",][^,]*+)?'
 CLOSED_LINE = rf"^{_FIELD}(?:,{_FIELD})*+\r?$"
 
 
+def _decoded(name: Column) -> Column:
+    """File name without the %-escapes of a URI (a plus stays a plus)."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """file_path, file_name, file_size, file_mtime (whole seconds) of the CSV files of a folder.
 
@@ -61,7 +66,7 @@ def read_csv(
         columns = {c: F.nullif(v, F.lit("NULL")) for c, v in columns.items()}
     return rows.select(
         *[v.alias(c) for c, v in columns.items()],
-        F.col("_metadata.file_name").alias("_source_file"),
+        _decoded(F.col("_metadata.file_name")).alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     ).where(~F.startswith("_source_file", F.lit("~$")))
 
@@ -76,7 +81,7 @@ def splittable(spark: SparkSession, files: list[str]) -> set[str]:
         return set()
     lines = spark.read.option("lineSep", "\n").text(files)
     open_line = (~F.col("value").rlike(CLOSED_LINE)).cast("int")
-    by_file = lines.groupBy(F.col("_metadata.file_name").alias("name")).agg(
+    by_file = lines.groupBy(_decoded(F.col("_metadata.file_name")).alias("name")).agg(
         F.max(open_line).alias("open")
     )
     closed = {r[0] for r in by_file.where("open = 0").select("name").toLocalIterator()}
