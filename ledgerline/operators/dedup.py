@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as C
@@ -47,11 +49,13 @@ def flag_duplicates(
     reason: str = C.REASON_DUPLICATE,
     scope: list[str] | None = None,
     include_blank: bool = False,
+    run_ts: datetime | None = None,
     **split,
 ) -> DataFrame:
     """Among valid rows of a batch with the same key keep the lowest id; mark the others.
 
-    Nothing is removed: a repeated row gets ``is_valid = 0`` and one more reason.
+    Nothing is removed: a repeated row gets ``is_valid = 0`` and one more reason, and with
+    ``run_ts`` a new ``updated_date``.
     """
     scope = ["batch_id"] if scope is None else scope
     keep = repeated_keys(
@@ -63,17 +67,20 @@ def flag_duplicates(
     )
     joined = hot_split_join(keyed, keep, [*scope, "_key"], "cnt", [order], **split)
     repeated = F.col("keep_id").isNotNull() & (F.col(order) != F.col("keep_id"))
-    return mark_invalid(joined, repeated, reason).select(*stage.columns)
+    return mark_invalid(joined, repeated, reason, run_ts).select(*stage.columns)
 
 
-def mark_invalid(df: DataFrame, condition: Column, reason: str) -> DataFrame:
+def mark_invalid(
+    df: DataFrame, condition: Column, reason: str, run_ts: datetime | None = None
+) -> DataFrame:
+    new = {
+        "invalid_reason": append_reason(F.col("invalid_reason"), reason),
+        "is_valid": F.lit(0),
+    }
+    if run_ts is not None:
+        new["updated_date"] = F.lit(run_ts)
     return df.withColumns(
-        {
-            "invalid_reason": F.when(
-                condition, append_reason(F.col("invalid_reason"), reason)
-            ).otherwise(F.col("invalid_reason")),
-            "is_valid": F.when(condition, 0).otherwise(F.col("is_valid")),
-        }
+        {n: F.when(condition, value).otherwise(F.col(n)) for n, value in new.items()}
     )
 
 

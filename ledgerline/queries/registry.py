@@ -384,7 +384,8 @@ def csv_round_trip(spark, sf_dir):
 def _loaded(spark, sf_dir) -> tuple[Tables, DataFrame]:
     """Tables after a CSV folder with all raw rows was loaded, and again without new files."""
     root = scratch_folder(spark, "tables")
-    write_csv(unnumbered(spark, sf_dir).select(*schemas.RAW_COLUMNS), f"{root}/csv")
+    rows = unnumbered(spark, sf_dir).select(*schemas.RAW_COLUMNS)
+    write_csv(rows.repartition(16), f"{root}/csv")
     tables = Tables(spark, root)
     ingest(tables, PARAMS, f"{root}/csv", "full")
     later = replace(PARAMS, run_ts=PARAMS.run_ts + timedelta(hours=1))

@@ -28,6 +28,7 @@ def local_session(master: str = "local[*]", memory: str = "16g") -> SparkSession
     builder = configure(SparkSession.builder.master(master))
     spark = (
         builder.config("spark.sql.shuffle.partitions", partitions)
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

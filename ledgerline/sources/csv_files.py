@@ -53,11 +53,20 @@ def read_csv(
     ``null_text`` reads the text NULL as NULL. ``strip_return`` drops the `\\r` that files with
     CRLF leave on the last column.
     """
-    reader = spark.read.schema(schemas.RAW).options(
-        header=True, enforceSchema=True, sep=",", quote='"', escape='"', lineSep="\n",
-        multiLine=multi_line, mode="PERMISSIVE", encoding=encoding,
-    )
+    reader = spark.read.schema(schemas.RAW).options(**csv_reader_options(encoding, multi_line))
     rows = reader.option("pathGlobFilter", "*.csv").csv(paths)
+    return tidy_csv(rows, null_text, strip_return)
+
+
+def csv_reader_options(encoding: str = "UTF-8", multi_line: bool = True) -> dict:
+    """Columns by position, whatever the header says; short rows are filled up."""
+    return {
+        "header": True, "enforceSchema": True, "sep": ",", "quote": '"', "escape": '"',
+        "lineSep": "\n", "multiLine": multi_line, "mode": "PERMISSIVE", "encoding": encoding,
+    }
+
+
+def tidy_csv(rows: DataFrame, null_text: bool = False, strip_return: bool = True) -> DataFrame:
     columns = {c: F.coalesce(F.col(c), F.lit("")) for c in schemas.RAW_COLUMNS}
     if strip_return:
         last = schemas.RAW_COLUMNS[-1]

@@ -80,6 +80,10 @@ class Dictionaries:
             .agg(F.min("country_name_cn").alias("_country_name"))
             .withColumn("_country_hit", F.lit(True))
         )
-        key = F.collate(source, C.COUNTRY_COLLATION)
-        joined = lookup_join(rows, entries, key, F.col("_code"), small=self.small("country"))
-        return joined.drop("_code")
+        # The key is a column of its own: Spark turns collated columns into hashable keys, but not
+        # collated expressions, and would sort both sides instead.
+        keyed = rows.withColumn("_country_key", F.collate(source, C.COUNTRY_COLLATION))
+        joined = lookup_join(
+            keyed, entries, F.col("_country_key"), F.col("_code"), small=self.small("country")
+        )
+        return joined.drop("_code", "_country_key")
