@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as C
 from ..functions import append_reason, is_blank
-from .joins import hot_split_join
+from ..sources.scratch import written
+from .joins import fits_broadcast, hot_split_join
 
 
 def fold_key(c: Column) -> Column:
@@ -50,22 +51,32 @@ def flag_duplicates(
     scope: list[str] | None = None,
     include_blank: bool = False,
     run_ts: datetime | None = None,
+    small: bool | None = None,
     **split,
 ) -> DataFrame:
     """Among valid rows of a batch with the same key keep the lowest id; mark the others.
 
     Nothing is removed: a repeated row gets ``is_valid = 0`` and one more reason, and with
     ``run_ts`` a new ``updated_date``.
+
+    The repeated keys are found first, from the key columns alone, and written, so that their
+    size is known. If they are few, as in most batches, they are broadcast and the wide rows are
+    not shuffled at all. Otherwise the join splits off hot keys.
     """
     scope = ["batch_id"] if scope is None else scope
-    keep = repeated_keys(
-        stage, key=key, order=order, scope=scope, include_blank=include_blank
-    )
+    found = repeated_keys(stage, key=key, order=order, scope=scope, include_blank=include_blank)
+    plain = F.collate("_key", "UTF8_BINARY")
+    keep = written(found.withColumn("_key", plain), "repeated-keys")
     has_key = F.col(key).isNotNull() if include_blank else ~is_blank(F.col(key))
     keyed = stage.withColumn(
         "_key", F.when((F.col("is_valid") == 1) & has_key, fold_key(F.col(key)))
     )
-    joined = hot_split_join(keyed, keep, [*scope, "_key"], "cnt", [order], **split)
+    keep_by_key = keep.withColumn("_key", fold_key(F.col("_key")))
+    small = fits_broadcast(keep) if small is None else small
+    if small:
+        joined = keyed.join(F.broadcast(keep_by_key), [*scope, "_key"], "left")
+    else:
+        joined = hot_split_join(keyed, keep_by_key, [*scope, "_key"], "cnt", [order], **split)
     repeated = F.col("keep_id").isNotNull() & (F.col(order) != F.col("keep_id"))
     return mark_invalid(joined, repeated, reason, run_ts).select(*stage.columns)
 
@@ -84,19 +95,27 @@ def mark_invalid(
     )
 
 
-def keep_first(df: DataFrame, key: str, order: list[str], **split) -> DataFrame:
+def keep_first(
+    df: DataFrame, key: str, order: list[str], small: bool | None = None, **split
+) -> DataFrame:
     """One row per non-NULL key, the first in ``order``; ``order`` must tell the rows apart.
 
-    The wide rows are not grouped: only (key, order) is aggregated, and keys that occur once,
-    nearly all of them, match nothing in the join.
+    The wide rows are not grouped: only (key, order) is aggregated, and the keys that occur more
+    than once, hardly any, are joined back as in ``flag_duplicates``.
     """
     # A single number fits a hash aggregate; a struct needs a sort.
     place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     first = (
         df.groupBy(key)
         .agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
+        .where(F.col("_n") > 1)
+        .where(F.col(key).isNotNull())
     )
-    joined = hot_split_join(df, first, [key], "_n", order, **split)
+    first = written(first, "repeated-keys")
+    small = fits_broadcast(first) if small is None else small
+    if small:
+        joined = df.join(F.broadcast(first), key, "left")
+    else:
+        joined = hot_split_join(df, first, [key], "_n", order, **split)
     keep = F.col("_first").isNull() | (F.col("_first") == place)
     return joined.where(keep).select(*df.columns)

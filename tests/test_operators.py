@@ -134,7 +134,8 @@ def test_flag_duplicates(spark):
         (1, 1, ""), (2, 0, "x;重复patent_id"), (3, 0, "y"), (4, 1, None), (5, 1, ""), (6, 1, ""),
         (7, 1, ""), (8, 1, ""), (9, 0, "重复patent_id"),
     ]
-    for split in ({}, {"hot_rows": 1}, {"hot_rows": 1, "hot_keys": 1}):
+    for split in ({}, {"small": False}, {"small": False, "hot_rows": 1},
+                  {"small": False, "hot_rows": 1, "hot_keys": 1}):
         found = dedup.flag_duplicates(stage, **split)
         assert found.columns == stage.columns
         assert values(found, "stage_id", "is_valid", "invalid_reason") == expected
@@ -152,7 +153,7 @@ def test_keep_first(spark):
          (None, "f", 5, "b")],
         "id long, file string, row int, v string",
     )
-    for split in ({}, {"hot_rows": 1}):
+    for split in ({}, {"small": False}, {"small": False, "hot_rows": 1}):
         found = dedup.keep_first(rows, "id", ["file", "row"], **split)
         assert sorted(r.v for r in found.collect()) == ["a", "b", "early", "only"]
     assert sorted(r.v for r in dedup.keep_first(rows, "id", ["row"]).collect()) == [
