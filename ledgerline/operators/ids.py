@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .joins import fits_broadcast, hot_split_join
 
-BLOCK = 1 << 18
+BLOCK = 1 << 16
 
 
 def number_rows(

@@ -195,11 +195,6 @@ def _with_sizes(cleaned: DataFrame) -> DataFrame:
     return cleaned.withColumn("file_size", size)
 
 
-def _stored(spark, sf_dir) -> DataFrame:
-    """The cleaned batch as the Stage table that both branches read."""
-    return written(_with_sizes(_cleaned(spark, sf_dir)), "stage")
-
-
 def _checked(valid: DataFrame) -> DataFrame:
     """Valid rows after a file check that finds no file outside the usual folder."""
     missing = ~F.startswith(F.col("publish_file"), F.lit("files/"))
@@ -224,8 +219,8 @@ def final_valid(spark, sf_dir):
 
 @query
 def final_invalid(spark, sf_dir):
-    stored = _stored(spark, sf_dir)
-    valid, invalid = _checked(split.split_valid(stored)), split.split_invalid(stored)
+    rows = _with_sizes(_cleaned(spark, sf_dir))
+    valid, invalid = _checked(split.split_valid(rows)), split.split_invalid(rows)
     late = finalize.failed_checks(valid, invalid, PARAMS, unique=True)
     return finalize.final_invalid(invalid.unionByName(late), PARAMS)
 
@@ -353,7 +348,7 @@ def file_audit(spark, sf_dir):
 
 @query
 def conservation(spark, sf_dir):
-    cleaned = _stored(spark, sf_dir)
+    cleaned = _cleaned(spark, sf_dir)
     valid, invalid = split.split_valid(cleaned), split.split_invalid(cleaned)
     return audit.conservation(cleaned, valid, invalid)
 
