@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import decontaminate, licenses, quality_rules, secrets, sharding, simhash, token_counts
 
 QUERIES = {
+    "op1_secrets": secrets.op1_secrets,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_shards": sharding.op3_shards,
+    "op4_licenses": licenses.op4_licenses,
+    "op5_simhash": simhash.op5_simhash,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_token_counts": token_counts.op8_token_counts,
 }
 
 ORACLE = {
+    "op2_decontaminate": decontaminate.OP2_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
 }

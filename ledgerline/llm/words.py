@@ -89,4 +89,4 @@ def window_hashes(df: DataFrame, words: str, size: int, name: str) -> DataFrame:
 
 def window_minima(df: DataFrame, values: str, size: int, name: str) -> DataFrame:
     """Adds the least value of every ``size`` neighbours; none if there are fewer values."""
-    return _rolled(df, values, size, name, F.least)
+    return _rolled(df, values, size, name, lambda a, b: F.least(a, b))
