@@ -20,7 +20,7 @@ from .words import covered, space_words, whole, window_hashes
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 500
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,6 @@ def ranked(sample: DataFrame, rules=RULES) -> list[Rule]:
 
     A rule that rejects nothing in the sample comes last; among such, the cheaper one first.
     """
-    sample = sample.persist()
     rows = max(1, sample.count())
     found = []
     for rule in rules:
@@ -125,13 +124,13 @@ def ranked(sample: DataFrame, rules=RULES) -> list[Rule]:
         rejected = measured(sample, rule.needs).agg(F.count_if(rule.rejects())).first()[0]
         cost = time.perf_counter() - start
         found.append((-(rejected / rows) / cost, cost, rule))
-    sample.unpersist()
     return [rule for *_, rule in sorted(found, key=lambda x: x[:2])]
 
 
 def order_rules(docs: DataFrame, text: str = "text", rules=RULES, rows: int = SAMPLE_ROWS):
     """Order for ``docs``, from the first ``rows`` rows; the sample decides on time, not results."""
-    return ranked(prepared(docs.select(text).limit(rows), text), rules)
+    some = docs.select(whole(text).alias(text)).take(rows)
+    return ranked(prepared(docs.sparkSession.createDataFrame(some, f"`{text}` string"), text), rules)
 
 
 def assess(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=RULES) -> DataFrame:
