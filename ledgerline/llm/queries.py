@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, quality_rules, secrets, sharding, simhash, token_counts
+from . import (
+    decontaminate,
+    licenses,
+    line_quality,
+    quality_rules,
+    secrets,
+    sentencepieces,
+    sharding,
+    simhash,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -10,11 +21,15 @@ QUERIES = {
     "op3_shards": sharding.op3_shards,
     "op4_licenses": licenses.op4_licenses,
     "op5_simhash": simhash.op5_simhash,
+    "op6_sentencepieces": sentencepieces.op6_sentencepieces,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_line_quality": line_quality.op9_line_quality,
+    "op10_warc": warc.op10_warc,
 }
 
 ORACLE = {
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
+    "op10_warc": warc.OP10_SQL,
 }
