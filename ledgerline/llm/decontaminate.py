@@ -18,17 +18,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import MAX_BROADCAST_ROWS, fits_broadcast, matching
-from .words import alnum_words, covered, whole, window_hashes, window_minima
+from .words import alnum_words, whole, window_hashes, window_minima
 
 N_WORDS = 13
 K_GRAM = 8
 
 
 def fingerprints(rows: DataFrame, n: int = N_WORDS, k: int = K_GRAM) -> DataFrame:
-    """Adds ``grams`` (hash of every k-gram of ``words``) and ``prints`` (the winnowed ones)."""
+    """Adds ``grams`` (hash of every k-gram of ``words``) and ``minima`` (the least of each window)."""
     rows = window_hashes(rows, "words", k, "grams")
-    rows = window_minima(rows, "grams", n - k + 1, "minima")
-    return rows.select("*", F.array_distinct("minima").alias("prints")).drop("minima")
+    return window_minima(rows, "grams", n - k + 1, "minima")
+
+
+def _each_print():
+    """An expression, not a column, is exploded: of a column Spark would ask first that it is not
+    empty, and that test would be computed from the words once more."""
+    return F.explode(F.array_distinct("minima")).alias("print")
 
 
 def windows(items: DataFrame, n: int = N_WORDS) -> DataFrame:
@@ -48,12 +53,12 @@ def _hit_places(texts: DataFrame, items: DataFrame, n: int, k: int, max_rows: in
     """Rows of ``texts`` (``doc``, ``mark``, ``words``) with the places ``at`` (from 0) of k-grams
     whose hash is a fingerprint on both sides. Rows without such a place are left out."""
     prints = (
-        fingerprints(items, n, k).select(F.explode("prints").alias("print")).distinct()
+        fingerprints(items, n, k).select(_each_print()).distinct()
     )
     long = fingerprints(texts, n, k)
     if fits_broadcast(prints, max_rows):
         # The words stay with the row: nothing but the hits leaves the task.
-        hits = long.select("*", F.explode("prints").alias("print")).join(
+        hits = long.select("doc", "mark", "words", "grams", _each_print()).join(
             F.broadcast(prints), "print", "left_semi"
         )
         at = F.filter(
@@ -62,7 +67,7 @@ def _hit_places(texts: DataFrame, items: DataFrame, n: int, k: int, max_rows: in
         )
         return hits.select("doc", "mark", "words", at.alias("at"))
     # Too many fingerprints to send to every task: only keys and hashes are shuffled.
-    keys = long.select("doc", "mark", F.explode("prints").alias("print"))
+    keys = long.select("doc", "mark", _each_print())
     keys = keys.join(prints, "print", "left_semi")
     found = keys.groupBy("doc", "mark").agg(F.collect_set("print").alias("found"))
     same = long["doc"].eqNullSafe(found["doc"]) & (long["mark"] == found["mark"])
@@ -163,7 +168,6 @@ def contamination(
             F.col("doc").alias("doc_id"),
             "n_words",
             "n_hit",
-            F.coalesce(F.size("names").cast("long"), zero).alias("n_items"),
             F.coalesce("names", F.array().cast("array<string>")).alias("items"),
             ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
         )
