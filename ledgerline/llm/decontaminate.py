@@ -69,13 +69,15 @@ def _hit_places(texts: DataFrame, items: DataFrame, n: int, k: int, max_rows: in
     # Too many fingerprints to send to every task: only keys and hashes are shuffled.
     keys = long.select("doc", "mark", _each_print())
     keys = keys.join(prints, "print", "left_semi")
-    found = keys.groupBy("doc", "mark").agg(F.collect_set("print").alias("found"))
-    same = long["doc"].eqNullSafe(found["doc"]) & (long["mark"] == found["mark"])
+    found = keys.groupBy(F.col("doc").alias("hit_doc"), F.col("mark").alias("hit_mark")).agg(
+        F.collect_set("print").alias("found")
+    )
+    same = F.col("doc").eqNullSafe(F.col("hit_doc")) & (F.col("mark") == F.col("hit_mark"))
     at = F.filter(
         F.sequence(F.lit(0), F.size("grams") - 1),
         lambda i: F.array_contains("found", F.get("grams", i)),
     )
-    return long.join(found, same).select(long["doc"], long["mark"], "words", at.alias("at"))
+    return long.join(found, same).select("doc", "mark", "words", at.alias("at"))
 
 
 def hits(

@@ -34,7 +34,7 @@ from .words import whole
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
-KNOWN_WORDS = 1 << 17
+KNOWN_WORDS = 1 << 16
 LONGEST = 32
 REMEMBERED = 1 << 17
 
@@ -131,7 +131,7 @@ def frequent_words(docs: DataFrame, text: str, most: int) -> DataFrame:
 
 
 def lattice(words: DataFrame, table: Pieces) -> DataFrame:
-    """``(word, edges)``: every piece that stands in a word, by the ends of its place."""
+    """``(word, edges)``: every piece of two characters or more that stands in a word, by place."""
     spark = words.sparkSession
     rows = spark.createDataFrame(
         [(p, s) for p, (s, _) in table.scores.items()], "piece string, score double"
@@ -139,7 +139,9 @@ def lattice(words: DataFrame, table: Pieces) -> DataFrame:
     size = F.char_length("word")
     parts = words.select("word", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
     last = F.least(size, F.col("start") + table.longest)
-    parts = parts.select("word", "start", F.explode(F.sequence(F.col("start") + 1, last)).alias("end"))
+    # Segments begin as characters, so an edge has two of them at least.
+    ends = F.when(F.col("start") + 2 <= last, F.sequence(F.col("start") + 2, last))
+    parts = parts.select("word", "start", F.explode_outer(ends).alias("end"))
     parts = parts.select(
         "*", F.substring("word", F.col("start") + 1, F.col("end") - F.col("start")).alias("piece")
     )
@@ -161,9 +163,13 @@ def segmented(edges: DataFrame) -> DataFrame:
             low, high = F.array_position(state, e["start"]), F.array_position(state, e["end"])
             return (low > 0) & (high == low + 2)
 
-        best = F.array_max(F.filter("edges", spans_two))
-        kept = F.filter(state, lambda c: (c <= best["start"]) | (c >= best["end"]))
-        return F.when(best.isNull(), state).otherwise(kept)
+        def without_inner(best):
+            kept = F.filter(state, lambda c: (c <= best["start"]) | (c >= best["end"]))
+            return F.when(best.isNull(), state).otherwise(kept)
+
+        # As the one element of an array the best edge is found once, not once for every cut.
+        best = F.array(F.array_max(F.filter("edges", spans_two)))
+        return F.get(F.transform(best, without_inner), F.lit(0))
 
     final = F.aggregate(F.sequence(F.lit(1), F.char_length("word")), cuts, step)
     rows = edges.select("word", final.alias("cuts"))

@@ -50,9 +50,12 @@ def _round(rows: DataFrame, shards: int, salt: int) -> DataFrame:
     sizes = _targets(rows, shards)
     counts = rows.where("linked > 1").groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("key").agg(
-        F.max(F.struct("n", (-F.col("shard")).alias("back"))).alias("best"), F.sum("n").alias("all")
+        F.max(F.struct("n", F.xxhash64("key", "shard").alias("tie"), "shard")).alias("best"),
+        F.sum("n").alias("all"),
+    )
+    best = best.select(
+        "key", F.col("best.shard").alias("to"), "all", F.col("best.n").alias("there")
     )
-    best = best.select("key", (-F.col("best.back")).cast("int").alias("to"), "all", F.col("best.n").alias("there"))
     # A key larger than a shard cannot move as a whole; its rows stay spread over the shards.
     room = max(int(wanted * (1 + SLACK)) for *_, wanted in sizes)
     best = best.where(F.col("all") <= room)

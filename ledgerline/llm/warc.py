@@ -99,7 +99,7 @@ def _write_monoliths(rows: Iterator[pd.DataFrame], folder: str, most: int) -> It
                 out = None
     if out is not None:
         close()
-    yield pd.DataFrame({"archive": done})
+    yield pd.DataFrame({"archive": pd.Series(done, dtype=object)})
 
 
 def with_types(pages: DataFrame, page_id: str, url: str | None, html: str, least: int) -> DataFrame:
@@ -216,7 +216,7 @@ def _normalise(rows: Iterator[pd.DataFrame], folder: str) -> Iterator[pd.DataFra
             out.finish()
             index.finish()
             done.append(name)
-        yield pd.DataFrame({"archive": done})
+        yield pd.DataFrame({"archive": pd.Series(done, dtype=object)})
 
 
 def normalise(folder: str, spark) -> None:
