@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from .batches import bounded
 from .words import whole
 
 SAMPLE = 3000
@@ -203,6 +204,7 @@ def train(
     lines: int = SAMPLE_LINES,
 ) -> Field:
     """Fit on at most ``sample`` labelled rows and ``lines`` lines; features are made in tasks."""
+    bounded(docs.sparkSession)
     wanted = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col(doc_id)))
     wanted = wanted.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
     # A label's rows are told apart by id; of several labels of one id the smallest counts.
@@ -225,6 +227,7 @@ def train(
 def scored(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row; no shuffle."""
     ident = F.col(doc_id)
+    bounded(docs.sparkSession)
 
     def scores(texts: pd.Series) -> pd.Series:
         return pd.Series([field.score(t) for t in texts], dtype=float)

@@ -32,6 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .batches import bounded
 from .words import whole
 
 MAX_LAYER = 64 << 20
@@ -271,6 +272,7 @@ def _redacted(texts: pd.Series) -> pd.Series:
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts and spans of every text; one pass, no shuffle."""
+    bounded(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.pandas_udf(_scanned, FOUND)(whole(text)).alias("found"))
     return rows.select("doc_id", "found.*")
 
@@ -278,6 +280,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = None) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``MARK``; other columns as they are, but
     ``n_chars``, if given, is counted anew. A null text stays null."""
+    bounded(docs.sparkSession)
     new = F.when(F.col(text).isNotNull(), F.pandas_udf(_redacted, StringType())(whole(text)))
     kind = docs.schema[text].dataType
     rows = docs.select(*(new.cast(kind).alias(c) if c == text else F.col(c) for c in docs.columns))

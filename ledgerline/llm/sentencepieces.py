@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from ..sources.scratch import written
+from .batches import bounded
 from .words import whole
 
 MODEL = "piece_bpe_32k.model"
@@ -36,7 +37,7 @@ SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 KNOWN_WORDS = 1 << 16
 LONGEST = 32
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 15
 
 
 class Pieces:
@@ -239,6 +240,7 @@ class Decoder:
 def encoder(docs: DataFrame, text: str = "text", model: str = MODEL, known_words: int = KNOWN_WORDS):
     """A function from text column to ids column, fitted to the words of ``docs``."""
     table, spark = pieces(model), docs.sparkSession
+    bounded(spark)
     words = written(segmented(lattice(frequent_words(docs, text, known_words), table)), "words")
     # At most ``known_words`` rows of at most ``LONGEST`` characters.
     known = {r["word"]: tuple(table.ids(r["segments"])) for r in words.toLocalIterator()}

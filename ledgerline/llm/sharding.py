@@ -24,7 +24,7 @@ from .words import whole
 SHARDS = 16
 ROUNDS = 3
 BUCKETS = 4096
-SLACK = 0.05
+SLACK = 0.2
 
 
 def _bucket(*columns):

@@ -25,6 +25,7 @@ from pyspark.sql.types import LongType
 
 from ..operators.joins import fits_broadcast, matching
 from ..sources.scratch import written
+from .batches import bounded
 from .graph import components
 from .words import whole
 
@@ -171,6 +172,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``(doc_id, key, print, component_id, first_key)`` for every row of ``docs``; ``first_key``
     is the key of the component's row with the smallest id."""
+    bounded(docs.sparkSession)
     marked = docs.select(
         F.col(doc_id).alias("doc_id"),
         _key(doc_id, text).alias("key"),

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.scratch import scratch_folder
+from .batches import bounded
 from .words import whole
 
 LIMIT = 512
@@ -124,6 +125,7 @@ def token_counts(
 ) -> DataFrame:
     """Bytes and tokens of every row; fills the cache first."""
     counter = counter or Counter()
+    bounded(docs.sparkSession)
     append_misses(docs, cache_path, text, counter)
     body = whole(text)
     rows = docs.select(

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import fits_broadcast, lookup_join
 from ..sources.scratch import scratch_folder
+from .batches import bounded
 
 LEAST_BYTES = 100
 ARCHIVE_BYTES = 32 << 20
@@ -140,6 +141,7 @@ def write_archives(
     archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
     """Write monolithic archives, and a list of them, below ``folder``."""
+    bounded(pages.sparkSession)
     system, path = _resolved(folder)
     system.create_dir(f"{path}/monolithic", recursive=True)
     rows = with_types(pages, page_id, url, html, least)
