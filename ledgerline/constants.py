@@ -44,3 +44,4 @@ COUNTRY_COLLATION = "UNICODE_CI_AI"
 
 STATUS_OK = "SUCCESS"
 STATUS_FAILED = "FAILED"
+STATUS_STARTED = "STARTED"

@@ -17,8 +17,8 @@ def open_work(
 ) -> DataFrame:
     """Files to bring into Stage, oldest first: file_name, batch_id, rows_loaded.
 
-    ``new`` and ``all_not_success``: loaded files without a successful Stage run. ``retry_failed``:
-    files whose Stage run failed.
+    ``new`` and ``all_not_success``: loaded files without a successful Stage run since they were
+    last loaded. ``retry_failed``: files whose Stage run failed.
     """
     done = done.where((F.col("table_name") == ods_table) & (F.col("stage_table") == stage_table))
     if mode == "retry_failed":
@@ -28,8 +28,11 @@ def open_work(
         loaded = file_log.where(
             (F.col("table_name") == ods_table) & (F.col("status") == C.STATUS_OK)
         )
-        finished = done.where(F.col("status") == C.STATUS_OK).select(*keys)
-        files = loaded.join(finished, keys, "left_anti")
+        finished = done.where(F.col("status") == C.STATUS_OK)
+        finished = finished.select(*keys, F.col("updated_at").alias("_done_at"))
+        known = [loaded[k] == finished[k] for k in keys]
+        newer = loaded["updated_at"] <= finished["_done_at"]
+        files = loaded.join(finished, [*known, newer], "left_anti")
     files = files.orderBy("updated_at", "file_name")
     if limit is not None:
         files = files.limit(limit)

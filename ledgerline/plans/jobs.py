@@ -4,13 +4,14 @@ step that is run again continues or changes nothing."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C, schemas
 from ..operators import audit
 from ..operators.dedup import keep_first
-from ..operators.ids import assign_ids, max_key, number_rows, shift_bounds, shift_ids
+from ..operators.ids import assign_ids, max_key, number_rows
 from ..operators.joins import fits_broadcast, matching
 from ..operators.upsert import delete_files, insert_ignore, key_window
 from ..operators.worklist import open_work
@@ -65,6 +66,7 @@ def _stage_files(tables: Tables, dicts: Dictionaries, params: Params, files: lis
     start = max(
         [max_key(tables.read(t, schemas.STAGE), "stage_id")
          for t in (params.stage_table, *params.start_after)]
+        + [_last_entered_key(tables, params)]
     )
     stage = stage_with_ids(ods, dicts, params, start)
     tables.append(stage.select(*schemas.STAGE.fieldNames()), params.stage_table, "batch_id")
@@ -132,24 +134,51 @@ def _log_done(tables: Tables, params: Params, files: DataFrame, status: str) ->
 # ---- progress per job, batch and target ----
 
 
-def finished(tables: Tables, params: Params, job: str, target: str) -> bool:
+def _state(stage: DataFrame) -> tuple[int, int]:
+    """Highest id and number of rows of a batch of Stage: what a finished job has worked on.
+
+    Ids only grow, also when a file is replaced, so any change of the batch changes these.
+    """
+    return tuple(stage.agg(F.coalesce(F.max("stage_id"), F.lit(0)), F.count(F.lit(1))).first())
+
+
+def _last_entered_key(tables: Tables, params: Params) -> int:
+    """Highest Stage id that a job has seen; rows that were replaced since do not free it."""
+    jobs = F.col("job_name").isin(*_jobs(params))
+    return max_key(tables.read(params.run_log, schemas.RUN_LOG).where(jobs), "last_key")
+
+
+def _jobs(params: Params) -> tuple[str, str, str]:
+    stems = ("clean_stage", "split_in_stock", "split_unqualified")
+    return tuple(f"{stem}_{params.table_id}_v1" for stem in stems)
+
+
+def finished(
+    tables: Tables, params: Params, job: str, target: str, state: tuple[int, int]
+) -> bool:
+    """Whether the job was done over the batch as Stage has it now."""
     log = tables.read(params.run_log, schemas.RUN_LOG).where(
         (F.col("batch_id") == params.batch_id)
         & (F.col("job_name") == job)
         & (F.col("target_table") == target)
         & (F.col("status") == C.STATUS_OK)
+        & (F.col("last_key") == state[0])
+        & (F.col("scanned_rows") == state[1])
     )
     return not log.isEmpty()
 
 
-def _log_run(tables: Tables, params: Params, job: str, target: str, counts: DataFrame) -> None:
+def _log_run(
+    tables: Tables, params: Params, job: str, target: str, counts: DataFrame,
+    status: str = C.STATUS_OK,
+) -> None:
     """``counts``: one row with last_key, scanned_rows, updated_rows, inserted_rows."""
     row = counts.withColumns(
         {
             "job_name": F.lit(job),
             "batch_id": F.lit(params.batch_id),
             "target_table": F.lit(target),
-            "status": F.lit(C.STATUS_OK),
+            "status": F.lit(status),
             "created_at": F.lit(params.run_ts),
             "updated_at": F.lit(params.run_ts),
         }
@@ -157,13 +186,14 @@ def _log_run(tables: Tables, params: Params, job: str, target: str, counts: Data
     tables.upsert(row, params.run_log, schemas.RUN_LOG, schemas.RUN_LOG_KEY)
 
 
-def _counts(df: DataFrame, key: str, params: Params, inserted: bool) -> DataFrame:
+def _counts(df: DataFrame, params: Params, inserted: bool, state: tuple[int, int]) -> DataFrame:
+    """Rows of the target, entered with the state of Stage that they come from."""
     rows = F.count(F.lit(1))
     moved = F.count(F.when(F.col("updated_date") == F.lit(params.run_ts), 1))
     none = F.lit(0)
     return df.agg(
-        F.coalesce(F.max(key), none).alias("last_key"),
-        rows.alias("scanned_rows"),
+        F.lit(state[0]).alias("last_key"),
+        F.lit(state[1]).alias("scanned_rows"),
         (none if inserted else moved).alias("updated_rows"),
         (rows if inserted else none).alias("inserted_rows"),
     )
@@ -179,16 +209,20 @@ def _batch(tables: Tables, params: Params, name: str, schema) -> DataFrame:
 def clean_stage(
     tables: Tables, dicts: Dictionaries, params: Params, again: bool = False
 ) -> None:
-    """Apply the rules to one batch and swap its partition. A finished batch is skipped."""
-    job = f"clean_stage_{params.table_id}_v1"
-    if not again and finished(tables, params, job, params.stage_table):
-        return
+    """Apply the rules to one batch and swap its partition.
+
+    A batch that is finished and has not changed since is skipped. Rows that came in later are
+    cleaned together with the old ones: the rules change cleaned rows no further, and a repeated
+    id stays with its lowest row, which is the older one.
+    """
+    job = _jobs(params)[0]
     rows = _batch(tables, params, params.stage_table, schemas.STAGE)
-    if rows.isEmpty():
+    state = _state(rows)
+    if not state[1] or not again and finished(tables, params, job, params.stage_table, state):
         return
     _swap_batch(tables, params.stage_table, rules.clean(rows, dicts, params))
     stored = _batch(tables, params, params.stage_table, schemas.STAGE)
-    _log_run(tables, params, job, params.stage_table, _counts(stored, "stage_id", params, False))
+    _log_run(tables, params, job, params.stage_table, _counts(stored, params, False, state))
 
 
 def _swap_batch(tables: Tables, name: str, rows: DataFrame) -> None:
@@ -196,34 +230,44 @@ def _swap_batch(tables: Tables, name: str, rows: DataFrame) -> None:
 
 
 def split_stage(tables: Tables, params: Params, again: bool = False) -> None:
-    """Route one batch to the valid and the invalid table, sorted by id within files."""
+    """Route one batch to the valid and the invalid table, sorted by id within files.
+
+    Rows that a target has already stay as they are, with the results of file checks, unless
+    Stage has lost them; only rows of other ids are added.
+    """
     stage = _batch(tables, params, params.stage_table, schemas.STAGE)
+    state = _state(stage)
+    _, valid_job, invalid_job = _jobs(params)
     for job, target, plan in (
-        (f"split_in_stock_{params.table_id}_v1", params.valid_table, split.split_valid),
-        (f"split_unqualified_{params.table_id}_v1", params.invalid_table, split.split_invalid),
+        (valid_job, params.valid_table, split.split_valid),
+        (invalid_job, params.invalid_table, split.split_invalid),
     ):
-        if not again and finished(tables, params, job, target):
+        if not again and finished(tables, params, job, target, state):
             continue
         rows = plan(stage, params.batch_id, params.min_key)
-        if params.min_key is not None:
-            existing = _batch(tables, params, target, schemas.PART)
-            rows = existing.where(F.col("id") <= params.min_key).unionByName(rows)
+        existing = _batch(tables, params, target, schemas.PART)
+        if not existing.isEmpty():
+            ids = stage.select(F.col("stage_id").alias("id"))
+            rows = existing.join(ids, "id", "left_semi").unionByName(
+                rows.join(existing.select("id"), "id", "left_anti")
+            )
         if rows.isEmpty():
             tables.empty_partition(target, schemas.PART, "batch_id", params.batch_id)
         else:
             _swap_batch(tables, target, rows.sortWithinPartitions("id"))
         stored = _batch(tables, params, target, schemas.PART)
-        _log_run(tables, params, job, target, _counts(stored, "id", params, True))
+        _log_run(tables, params, job, target, _counts(stored, params, True, state))
 
 
 # ---- final tables ----
 
 
 def finalize_valid(tables: Tables, params: Params) -> None:
-    """Add the valid rows to the final table; ids that are there already are left out."""
+    """Add the valid rows to the final table; rows that are there already are left out."""
     valid = _one_per_id(tables.read(params.valid_table, schemas.PART))
     rows = finalize.final_valid(valid, params)
-    _add_new(tables, rows, params.final_valid_table, schemas.FINAL_VALID)
+    ids = tables.read(params.valid_table, schemas.PART).select("id")
+    _add_new(tables, rows, ids, params.final_valid_table, schemas.FINAL_VALID)
 
 
 def finalize_invalid(tables: Tables, params: Params) -> None:
@@ -238,7 +282,7 @@ def finalize_invalid(tables: Tables, params: Params) -> None:
         tables.append(late.sortWithinPartitions("id"), params.invalid_table, "batch_id")
     invalid = _one_per_id(tables.read(params.invalid_table, schemas.PART))
     rows = finalize.final_invalid(invalid, params)
-    _add_new(tables, rows, params.final_invalid_table, schemas.FINAL_INVALID)
+    _add_new(tables, rows, invalid.select("id"), params.final_invalid_table, schemas.FINAL_INVALID)
 
 
 def _one_per_id(rows: DataFrame) -> DataFrame:
@@ -248,10 +292,32 @@ def _one_per_id(rows: DataFrame) -> DataFrame:
     return keep_first(rows, "id", ["_source_file", "_row_num"])
 
 
-def _add_new(tables: Tables, rows: DataFrame, name: str, schema) -> None:
+def _add_new(tables: Tables, rows: DataFrame, ids: DataFrame, name: str, schema) -> None:
+    """Add rows of new ids to a final table.
+
+    An id that stands there for another source or another patent is an error, and nothing is
+    written: two partitions share ids, and one of them has to be placed behind the other. Rows of
+    this source whose ids are no longer in the partition (``ids``), as their file was replaced, go.
+    """
     existing = tables.read(name, schema)
     if not existing.isEmpty():
-        rows = insert_ignore(rows, key_window(existing, rows, "id"), "id")
+        near = key_window(existing, rows, "id").select(
+            "id", F.col("data_source").alias("_source"), F.col("patent_id").alias("_patent")
+        )
+        other = ~(
+            F.col("_source").eqNullSafe(F.col("data_source"))
+            & F.col("_patent").eqNullSafe(F.col("patent_id"))
+        )
+        clash = rows.select("id", "data_source", "patent_id").join(near, "id").where(other).count()
+        if clash:
+            raise ValueError(f"{clash} ids of {name} belong to other rows; place the ids first")
+        sources = [r[0] for r in rows.select("data_source").distinct().collect()]
+        own = existing.where(F.col("data_source").isin(sources))
+        if not own.join(ids, "id", "left_anti").isEmpty():
+            rows = own.join(ids, "id", "left_semi").unionByName(insert_ignore(rows, own, "id"))
+            tables.replace_partitions(rows.sortWithinPartitions("id"), name, "data_source")
+            return
+        rows = insert_ignore(rows, near, "id")
     tables.append(rows.sortWithinPartitions("id"), name, "data_source")
 
 
@@ -259,21 +325,51 @@ def _add_new(tables: Tables, rows: DataFrame, name: str, schema) -> None:
 
 
 def place_behind(tables: Tables, params: Params, previous_stage: str) -> None:
-    """Move the ids of a partition behind those of ``previous_stage``, table by table.
+    """Move the ids of a partition of any size behind those of ``previous_stage``.
 
-    Each table is swapped as a whole and knows by its own ids whether it was moved, so a second
-    run changes nothing and an interrupted run goes on with the tables that are left.
+    Each batch of each table is moved by itself: its lowest id and the offset are entered before
+    and the end after, and the move replaces one folder. A run that goes on after a break reads
+    from the entry what the lowest id was, so nothing is moved twice.
     """
-    previous = tables.read(previous_stage, schemas.STAGE)
+    offset = max_key(tables.read(previous_stage, schemas.STAGE), "stage_id")
+    if offset <= 0:
+        raise ValueError("the table in front is empty: there is no offset to shift by")
+    job = f"place_behind_{previous_stage}"
     for name, schema, key in (
         (params.valid_table, schemas.PART, "id"),
         (params.invalid_table, schemas.PART, "id"),
         (params.stage_table, schemas.STAGE, "stage_id"),
     ):
-        rows = tables.read(name, schema)
-        offset, old_max = shift_bounds(previous, rows.select(F.col(key).alias("stage_id")))
-        if old_max:
-            _swap_batch(tables, name, shift_ids(rows, key, offset, old_max))
+        lows = tables.read(name, schema).groupBy("batch_id").agg(F.min(key).alias("low"))
+        for batch, low in sorted(tuple(r) for r in lows.collect()):
+            _move_batch(tables, replace(params, batch_id=batch), job, (name, schema, key), low, offset)
+
+
+def _move_batch(tables: Tables, params: Params, job: str, table, low: int, offset: int) -> None:
+    name, schema, key = table
+    entry = tables.read(params.run_log, schemas.RUN_LOG).where(
+        (F.col("batch_id") == params.batch_id)
+        & (F.col("job_name") == job)
+        & (F.col("target_table") == name)
+    ).first()
+
+    def enter(status: str, old_low: int, by: int) -> None:
+        counts = tables.spark.createDataFrame(
+            [(old_low, by, 0, 0)],
+            "last_key long, scanned_rows long, updated_rows long, inserted_rows long",
+        )
+        _log_run(tables, params, job, name, counts, status)
+
+    if entry is not None and entry["status"] == C.STATUS_OK:
+        return
+    if entry is None:
+        enter(C.STATUS_STARTED, low, offset)
+    else:
+        offset = entry["scanned_rows"]
+    if entry is None or low == entry["last_key"]:
+        rows = _batch(tables, params, name, schema)
+        _swap_batch(tables, name, rows.withColumn(key, (F.col(key) + offset).cast("bigint")))
+    enter(C.STATUS_OK, low if entry is None else entry["last_key"], offset)
 
 
 def restore_raw_names(tables: Tables, params: Params) -> None:

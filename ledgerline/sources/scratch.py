@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -17,9 +18,15 @@ def _local_folder() -> str:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (a local test) a temporary folder takes its place.
+    Only in a local session without that setting a temporary folder takes its place; executors of
+    a cluster could not reach it, so there the setting is required.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master!r}")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

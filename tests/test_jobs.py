@@ -1,6 +1,7 @@
 import os
 from dataclasses import replace
 from datetime import timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from ledgerline.params import Params
 from ledgerline.plans import ingest as ingest_module, jobs
 from ledgerline.plans.ingest import ingest, isolate_failures
 from ledgerline.queries.inputs import dictionaries
-from ledgerline.sources import csv_files
+from ledgerline.sources import csv_files, scratch
 from ledgerline.sources.dictionaries import Dictionaries
+from ledgerline.sources.scratch import written
 from ledgerline.sources.tables import Tables
 
 HEADER = ",".join(schemas.RAW_COLUMNS)
@@ -369,6 +371,97 @@ def test_split_after_a_key(spark, tables, params, loaded):
     assert state(tables, params) == before
 
 
+def test_rows_added_to_a_finished_batch(spark, tables, params, loaded):
+    dicts = dictionaries(spark)
+    jobs.run_steps(tables, dicts, params, ALL)
+    checked = tables.read(params.valid_table, schemas.PART).withColumn(
+        "is_valid", F.when(F.col("id") == 4, 0).otherwise(F.col("is_valid"))
+    )
+    tables.replace_partitions(written(checked, "checked"), params.valid_table, "batch_id")
+    put(loaded, "f3.csv", line("P7"), line("P1"))
+    ingest(tables, later(params), loaded, "resume")
+    jobs.run_steps(tables, dicts, later(params), ALL)
+    valid = tables.read(params.valid_table, schemas.PART)
+    assert ids_of(valid, "id", "patent_id", "is_valid") == [
+        (1, "P1", 1), (4, "P2", 0), (6, "P7", 1)
+    ]
+    final = tables.read(params.final_valid_table, schemas.FINAL_VALID)
+    assert ids_of(final, "id") == [(1,), (4,), (6,)]
+    final = tables.read(params.final_invalid_table, schemas.FINAL_INVALID)
+    assert ids_of(final, "id") == [(2,), (3,), (4,), (5,), (7,)]
+    before = state(tables, params)
+    jobs.run_steps(tables, dicts, later(params, 2), ALL)
+    assert state(tables, params) == before
+
+
+def test_a_replaced_file_goes_through(spark, tables, params, loaded):
+    dicts = dictionaries(spark)
+    jobs.run_steps(tables, dicts, params, ALL)
+    put(loaded, "f2.csv", line("P8"), line("P9"), line("P10"))
+    ingest(tables, later(params), loaded, "resume")
+    jobs.run_steps(tables, dicts, later(params), ALL)
+    stage = tables.read(params.stage_table, schemas.STAGE)
+    assert ids_of(stage, "stage_id", "patent_id")[3:] == [(6, "P8"), (7, "P9"), (8, "P10")]
+    final = tables.read(params.final_valid_table, schemas.FINAL_VALID)
+    assert ids_of(final, "id") == [(1,), (6,), (7,), (8,)]
+    final = tables.read(params.final_invalid_table, schemas.FINAL_INVALID)
+    assert ids_of(final, "id") == [(2,), (3,)]
+
+
+def test_clashing_ids_in_final_tables(spark, tables, params, loaded):
+    dicts = dictionaries(spark)
+    jobs.run_steps(tables, dicts, params, ALL)
+    other = replace(params, stage_table="stage_d", valid_table="in_stock_d",
+                    invalid_table="unqualified_d", data_source="D", table_id="d")
+    jobs.run_steps(tables, dicts, other)
+    before = state(tables, params)
+    for step in ("final_instock", "final_unqualified"):
+        with pytest.raises(ValueError, match="ids of final"):
+            jobs.run_steps(tables, dicts, other, step)
+    assert state(tables, params) == before
+    jobs.place_behind(tables, other, params.stage_table)
+    jobs.run_steps(tables, dicts, other, "final_instock,final_unqualified")
+    final = tables.read(params.final_valid_table, schemas.FINAL_VALID)
+    assert ids_of(final, "id", "data_source") == [(1, "A"), (4, "A"), (6, "D"), (9, "D")]
+
+
+def test_a_larger_partition_moves_and_goes_on_after_a_break(
+    spark, tables, params, loaded, monkeypatch
+):
+    dicts = dictionaries(spark)
+    jobs.run_steps(tables, dicts, params)
+    first = spark.createDataFrame(
+        tables.read(params.stage_table, schemas.STAGE).limit(2).collect(), schemas.STAGE
+    ).withColumn("stage_id", F.col("stage_id") % 2 + 1)
+    tables.append(first, "stage_front", "batch_id")
+    swaps = []
+
+    def broken(tables_, name, rows, swap=jobs._swap_batch):
+        swap(tables_, name, rows)
+        swaps.append(name)
+        if len(swaps) == 2:
+            raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(jobs, "_swap_batch", broken)
+    with pytest.raises(RuntimeError):
+        jobs.place_behind(tables, params, "stage_front")
+    for _ in range(2):
+        jobs.place_behind(tables, later(params), "stage_front")
+    stage = tables.read(params.stage_table, schemas.STAGE)
+    assert [i for i, in ids_of(stage, "stage_id")] == [3, 4, 5, 6, 7]
+    assert ids_of(tables.read(params.valid_table, schemas.PART), "id") == [(3,), (6,)]
+    assert ids_of(tables.read(params.invalid_table, schemas.PART), "id") == [(4,), (5,), (7,)]
+
+
+def test_scratch_folder_needs_a_shared_one(spark, monkeypatch):
+    settings = {"spark.checkpoint.dir": None, "spark.master": "spark://host:7077"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, default=None: settings[k]))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_folder(session, "x")
+    settings["spark.master"] = "local[2]"
+    assert scratch.scratch_folder(session, "x")
+
+
 def test_unknown_step_and_mode(spark, tables, params):
     with pytest.raises(ValueError, match="unknown steps"):
         jobs.run_steps(tables, dictionaries(spark), params, "ods2stage,nothing")
