@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import fnmatch
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import constants as C, schemas
 from ..operators.joins import fits_broadcast, hot_split_join
-from .scratch import written
+from .scratch import scratch_folder, written
 
 # One line on which every quoted field ends: quotes count only at the start of a field.
 _FIELD = r'(?:"(?:[^"]|"")*+"|[^",][^,]*+)?'
@@ -18,23 +21,56 @@ def _decoded(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
+# Names that a path given to a reader would be a pattern for, and names that readers leave out.
+PATTERN_CHARACTER = re.compile(r"([\[\]{}*?\\^])")
+HIDDEN = re.compile(r"^[_.]")
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """file_path, file_name, file_size, file_mtime (whole seconds) of the CSV files of a folder.
 
-    Office lock files (`~$...`) are left out. Only metadata is read, no content.
+    The folder is listed through the file system, so names that Spark's readers pass over or take
+    for patterns are there too. Office lock files (`~$...`) are left out. No content is read.
     """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    return (
-        found.select(
-            F.col("path").alias("file_path"),
-            name.alias("file_name"),
-            F.col("length").alias("file_size"),
-            F.date_trunc("second", "modificationTime").alias("file_mtime"),
-        )
-        .where(~F.startswith("file_name", F.lit("~$")))
-        .orderBy("file_path")
+    system, place = _file_system(spark, folder)
+    rows = []
+    for status in system.listStatus(place):
+        path = status.getPath()
+        name = path.getName()
+        if status.isFile() and fnmatch.fnmatchcase(name, pattern) and not name.startswith("~$"):
+            rows.append((path.toString(), name, status.getLen(), status.getModificationTime() // 1000))
+    found = spark.createDataFrame(
+        sorted(rows), "file_path string, file_name string, file_size long, seconds long"
     )
+    return found.select(
+        "file_path", "file_name", "file_size", F.timestamp_seconds("seconds").alias("file_mtime")
+    )
+
+
+def _readable(spark: SparkSession, files: list[str]) -> tuple[dict[str, str], dict[str, str]]:
+    """Path to hand to a reader for each file, and the true names of files that were copied.
+
+    Signs of patterns are escaped. Spark's readers leave out files that begin with `_` or `.`, so
+    such a file is copied to the shared folder under another name.
+    """
+    paths, names = {}, {}
+    for file in files:
+        folder, _, name = file.rpartition("/")
+        if HIDDEN.match(name):
+            copy = f"{scratch_folder(spark, 'hidden-csv')}.csv"
+            (source, old), (target, new) = _file_system(spark, file), _file_system(spark, copy)
+            hadoop = spark._jsc.hadoopConfiguration()
+            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(source, old, target, new, False, hadoop)
+            names[copy.rsplit("/", 1)[1]] = name
+            paths[file] = copy
+        else:
+            paths[file] = PATTERN_CHARACTER.sub(r"\\\1", file)
+    return paths, names
 
 
 def read_csv(
@@ -94,28 +130,57 @@ def splittable(spark: SparkSession, files: list[str]) -> set[str]:
         F.max(open_line).alias("open")
     )
     closed = {r[0] for r in by_file.where("open = 0").select("name").toLocalIterator()}
-    return {f for f in files if f.rsplit("/", 1)[-1] in closed}
+    return {f for f in files if re.sub(r"\\(.)", r"\1", f.rsplit("/", 1)[-1]) in closed}
 
 
-def read_files(
-    spark: SparkSession, sizes: dict[str, int], encoding: str = "UTF-8", **options
+def read_lines(
+    spark: SparkSession, paths: list[str], *, null_text: bool = False, strip_return: bool = True
 ) -> DataFrame:
-    """``read_csv`` over files of known size: large ones are split where that is exact."""
-    limit = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    large = splittable(spark, [p for p, size in sizes.items() if size > limit])
-    whole = [p for p in sizes if p not in large]
-    parts = [
-        read_csv(spark, sorted(paths), encoding=encoding, multi_line=multi, **options)
-        for paths, multi in ((whole, True), (large, False))
-        if paths
+    """``read_csv`` for UTF-8 files in which no record spans lines, read in splits.
+
+    Blank lines stay rows, as in ``read_csv`` over whole files. The header line of each file is
+    still there, marked by ``_header`` = 1 as a column; ``with_row_numbers`` takes it out.
+    """
+    options = {
+        k: str(v) for k, v in csv_reader_options("UTF-8", False).items()
+        if k not in ("header", "enforceSchema", "lineSep", "multiLine", "encoding")
+    }
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.csv").text(paths)
+    blank = F.trim("value") == ""
+    fields = F.from_csv("value", schemas.RAW.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    rows = lines.select(blank.alias("_blank"), "value", fields.alias("_fields"), "_metadata")
+    first = schemas.RAW_COLUMNS[0]
+    columns = [
+        F.when(F.col("_blank"), F.col("value") if c == first else F.lit("")).otherwise(F.col("_fields")[c]).alias(c)
+        for c in schemas.RAW_COLUMNS
     ]
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return tidy_csv(rows.select(*columns, "_metadata"), null_text, strip_return)
 
 
-def _bytes(text: str) -> int:
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    text = text.lower().removesuffix("b")
-    return int(text[:-1]) << units[text[-1]] if text[-1] in units else int(text)
+def read_files(
+    spark: SparkSession, sizes: dict[str, int], encoding: str = "UTF-8", **options
+) -> DataFrame:
+    """Rows of files. Files of UTF-8 in which no record spans lines are read in splits, the others
+    one per task; the choice depends on the content, never on a size or a setting. In the latter,
+    the reader passes over lines that are wholly empty. ``_header`` is 1 where a file's first row
+    is its header."""
+    paths, names = _readable(spark, list(sizes))
+    utf8 = encoding.upper().replace("-", "") == "UTF8"
+    large = splittable(spark, sorted(paths.values())) if utf8 else set()
+    whole = sorted(set(paths.values()) - large)
+    parts = []
+    if whole:
+        rows = read_csv(spark, whole, encoding=encoding, **options)
+        parts.append(rows.withColumn("_header", F.lit(0)))
+    if large:
+        rows = read_lines(spark, sorted(large), **options)
+        parts.append(rows.withColumn("_header", F.lit(1)))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if names:
+        true = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+        own = F.coalesce(F.element_at(true, F.col("_source_file")), F.col("_source_file"))
+        rows = rows.withColumn("_source_file", own)
+    return rows
 
 
 def with_row_numbers(rows: DataFrame) -> DataFrame:
@@ -139,8 +204,11 @@ def with_row_numbers(rows: DataFrame) -> DataFrame:
     else:
         joined = hot_split_join(stored, blocks, keys, "_rows", ["_place"])
     number = F.col("_before") + F.col("_place") - F.col("_first") + 1
-    kept = [c for c in rows.columns if c != "_block"]
-    return joined.select(*kept, number.cast("bigint").alias("_row_num"))
+    kept = [c for c in rows.columns if c not in ("_block", "_header")]
+    if "_header" not in rows.columns:
+        return joined.select(*kept, number.cast("bigint").alias("_row_num"))
+    number = (number - F.col("_header")).cast("bigint").alias("_row_num")
+    return joined.select(*kept, number).where("_row_num > 0")
 
 
 def damaged_files(rows: DataFrame) -> DataFrame:

@@ -98,6 +98,32 @@ def test_large_files_are_split_where_exact(spark, tmp_path):
     assert all(int(r.id[1:]) + 1 == r._row_num for r in numbered)
 
 
+ODD_NAMES = ("a1.csv", "a[1].csv", "b{x}.csv", "c?d.csv", "e f.csv", "g%20h.csv", "i+j.csv", "_u.csv", ".x.csv")
+
+
+def test_odd_names_and_blank_lines_at_any_split_size(spark, tables, params, tmp_path):
+    folder, found = str(tmp_path / "csv"), {}
+    for k, name in enumerate(ODD_NAMES):
+        put(folder, name, line(f"P{k}"), "", line(f"Q{k}", title='"x, y"'), "  ", line(f"R{k}", tail="u"), end="\r\n" if k % 2 else "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("128m", "256b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            own = replace(params, ods_table=f"ods_{size}")
+            ingest(tables, own, folder, "full")
+            rows = tables.read(own.ods_table, schemas.ODS)
+            found[size] = ids_of(rows, "_source_file", "_row_num", *schemas.RAW_COLUMNS)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found["128m"] == found["256b"]
+    places = {(r[2], r[0], r[1]) for r in found["128m"] if r[2].strip()}
+    assert places == {
+        (f"{c}{k}", name, n) for k, name in enumerate(ODD_NAMES) for c, n in (("P", 1), ("Q", 3), ("R", 5))
+    }
+    log = log_of(tables, replace(params, ods_table="ods_128m"))
+    assert log == {name: ("SUCCESS", 5) for name in ODD_NAMES}
+
+
 @pytest.mark.parametrize("text,closed", [
     ("a,b,c", True), ('"a","b ""q"" c",d', True), ("", True), (',,"x"\r', True),
     ('a,"open', False), ('a,"x""', False), ('5" pipe,b', True), ('"a"b,c', False), ("a,", True),
