@@ -113,6 +113,14 @@ def test_pieces(spark, frame):
     assert sentencepieces.encode(frame([])).count() == 0
 
 
+def test_both_merges_are_one():
+    rng = np.random.default_rng(4)
+    table = sentencepieces.pieces()
+    for n in rng.integers(1, 40, 2000):
+        word = "▁" + "".join(rng.choice(list("theandingo1é▁漢"), n))
+        assert table.merged_short(word) == table.merged_long(word)
+
+
 def test_fast_counts_are_those_of_the_library():
     count = token_counts.Counter()
     exact = token_counts._exact(public_tokenizers.path(count.json))
