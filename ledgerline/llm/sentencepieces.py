@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding with a lattice of pieces as a relation.
 
-Words are cut where no piece can reach over. For the words that are most frequent in the corpus,
+Words are cut where no piece of the table reaches over: before spaces and, if the table allows it,
+where Latin letters begin or end. For the words that are most frequent in the corpus,
 all substrings up to the longest piece are exploded and joined to the piece table; the edges are
 grouped by word, and a fold with ``aggregate`` picks the segmentation.
 
@@ -34,7 +35,11 @@ from .words import whole
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
+# Latin letters, which most models join with each other and with spaces in front only.
+LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+WIDE_WORD = f"{SPACE}+[^{SPACE}]*"
+WORD = f"{SPACE}*[{LETTER}]+|{SPACE}*[^{LETTER}{SPACE}]+|{SPACE}+"
+REACHES_OVER = re.compile(f"[{LETTER}][^{LETTER}]|[^{LETTER}{SPACE}][{LETTER}]|[^{SPACE}]{SPACE}")
 KNOWN_WORDS = 1 << 16
 LONGEST = 32
 REMEMBERED = 1 << 15
@@ -62,6 +67,9 @@ class Pieces:
         self.bytes = {i: b for b, i in enumerate(ids)}
         self.longest = max(map(len, self.scores))
         self.ranks = {p: -score for p, (score, _) in self.scores.items()}
+        # No piece may reach over an end of a word, so the table decides where words end.
+        self.word = WIDE_WORD if any(map(REACHES_OVER.search, self.scores)) else WORD
+        self.words = re.compile(self.word).findall
 
     def ids(self, segments) -> list[int]:
         """A segment that is no piece is a character; it becomes its bytes."""
@@ -130,11 +138,11 @@ def pieces(name: str = MODEL) -> Pieces:
     return Pieces(public_tokenizers.path(name))
 
 
-def frequent_words(docs: DataFrame, text: str, most: int) -> DataFrame:
+def frequent_words(docs: DataFrame, text: str, most: int, word: str = WORD) -> DataFrame:
     """``(word)``: at most ``most`` words, all of which are at least as frequent as any other."""
     body = whole(text)
     marked = F.concat(F.lit(SPACE), F.replace(body, F.lit(" "), F.lit(SPACE)))
-    found = F.regexp_extract_all(marked, F.lit(WORD.pattern), F.lit(0))
+    found = F.regexp_extract_all(marked, F.lit(word), F.lit(0))
     words = docs.where(body != "").select(F.explode(found).alias("word"))
     words = words.where(F.char_length("word") <= LONGEST)
     counts = written(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
@@ -214,11 +222,10 @@ class Encoder:
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        known, rest, out = self.known.value, _remembered(self.model), []
-        for word in WORD.findall(SPACE + text.replace(" ", SPACE)):
+        table, known, rest, out = pieces(self.model), self.known.value, _remembered(self.model), []
+        for word in table.words(SPACE + text.replace(" ", SPACE)):
             ids = known.get(word) or rest.get(word)
             if ids is None:
-                table = pieces(self.model)
                 ids = tuple(table.ids(table.merged(word)))
                 if len(word) <= LONGEST:
                     if len(rest) >= REMEMBERED:
@@ -242,7 +249,7 @@ class Decoder:
 
     def decode(self, ids) -> str:
         table, out, run = pieces(self.model), [], bytearray()
-        for i in ids:
+        for i in np.asarray(ids).tolist():
             byte = table.bytes.get(i)
             if byte is not None:
                 run.append(byte)
@@ -260,7 +267,7 @@ def encoder(docs: DataFrame, text: str = "text", model: str = MODEL, known_words
     """A function from text column to ids column, fitted to the words of ``docs``."""
     table, spark = pieces(model), docs.sparkSession
     bounded(spark)
-    words = written(segmented(lattice(frequent_words(docs, text, known_words), table)), "words")
+    words = written(segmented(lattice(frequent_words(docs, text, known_words, table.word), table)), "words")
     # At most ``known_words`` rows of at most ``LONGEST`` characters.
     known = {r["word"]: tuple(table.ids(r["segments"])) for r in words.toLocalIterator()}
     run = Encoder(spark.sparkContext.broadcast(known), model)
