@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 import re
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,9 +41,9 @@ LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 WIDE_WORD = f"{SPACE}+[^{SPACE}]*"
 WORD = f"{SPACE}*[{LETTER}]+|{SPACE}*[^{LETTER}{SPACE}]+|{SPACE}+"
 REACHES_OVER = re.compile(f"[{LETTER}][^{LETTER}]|[^{LETTER}{SPACE}][{LETTER}]|[^{SPACE}]{SPACE}")
-KNOWN_WORDS = 1 << 16
+KNOWN_WORDS = 1 << 18
 LONGEST = 32
-REMEMBERED = 1 << 15
+REMEMBERED = 1 << 16
 NEVER = float("inf")
 
 
@@ -210,6 +211,23 @@ def segmented(edges: DataFrame) -> DataFrame:
     return rows.select("word", segments.alias("segments"))
 
 
+class Memory(dict):
+    """Ids by word: the known words, and others as they come up, at most ``REMEMBERED`` of them."""
+
+    def __init__(self, known: dict, table: Pieces):
+        super().__init__(known)
+        self.known, self.table, self.most = known, table, len(known) + REMEMBERED
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = tuple(self.table.ids(self.table.merged(word)))
+        if len(word) <= LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+                self.update(self.known)
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts in tasks, from the broadcast table and merges for the rest."""
 
@@ -217,27 +235,25 @@ class Encoder:
         self.known, self.model = known, model
 
     def __call__(self, texts: pd.Series) -> pd.Series:
-        return pd.Series([self.encode(t) for t in texts], dtype=object)
+        ids_of = _memory(self.known, self.model).__getitem__
+        return pd.Series([self.encode(t, ids_of) for t in texts], dtype=object)
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str, ids_of) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        table, known, rest, out = pieces(self.model), self.known.value, _remembered(self.model), []
-        for word in table.words(SPACE + text.replace(" ", SPACE)):
-            ids = known.get(word) or rest.get(word)
-            if ids is None:
-                ids = tuple(table.ids(table.merged(word)))
-                if len(word) <= LONGEST:
-                    if len(rest) >= REMEMBERED:
-                        rest.clear()
-                    rest[word] = ids
-            out.extend(ids)
-        return np.array(out, np.int32)
+        words = pieces(self.model).words(SPACE + text.replace(" ", SPACE))
+        return np.fromiter(chain.from_iterable(map(ids_of, words)), np.int32)
 
 
-@cache
-def _remembered(model: str) -> dict:
-    return {}
+_memories: dict[str, Memory] = {}
+
+
+def _memory(known, model: str) -> Memory:
+    """A worker's memory for the broadcast table; one of an earlier table is let go."""
+    found = _memories.get(model)
+    if found is None or found.known is not known.value:
+        found = _memories[model] = Memory(known.value, pieces(model))
+    return found
 
 
 class Decoder:
