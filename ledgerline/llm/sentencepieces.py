@@ -301,7 +301,10 @@ def decoded(ids: Column, model: str = MODEL) -> Column:
     def texts(rows: pd.Series) -> pd.Series:
         return run(rows)
 
-    return F.pandas_udf(texts, StringType())(ids)
+    # Ids straight from the encoder would be chained into this function and encoded once more for
+    # it; behind a built-in function they are taken from the column.
+    none = F.array().cast(ArrayType(IntegerType()))
+    return F.pandas_udf(texts, StringType())(F.coalesce(ids, none))
 
 
 def encode(docs: DataFrame, text: str = "text", name: str = "ids", **options) -> DataFrame:
