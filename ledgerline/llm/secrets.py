@@ -2,8 +2,9 @@
 
 A text is the first layer. Each layer is scanned; its URL escapes, Unicode escapes, base64 runs and
 compressed bytes are unwrapped into further layers, until no new layer comes up. A layer that was
-seen before, by digest, is not entered again, so cycles end. Every character of a layer knows the
-span of the text that it comes from, so findings are reported in places of the text, in code
+seen before, by digest of its characters and the places they come from, is not entered again, so
+cycles end; the same payload at another place is another layer. Every character of a layer knows
+the span of the text that it comes from, so findings are reported in places of the text, in code
 points. What is found in the text itself stays as it is; a layer adds spans.
 
 A compressed layer beyond ``max_layer`` bytes is not unpacked further; it is reported as a span of
@@ -70,6 +71,14 @@ class Layer:
             return start, end
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
+    def digest(self) -> bytes:
+        """Tells layers apart by text and places."""
+        state = hashlib.sha256(self.text.encode("utf-8", "surrogatepass"))
+        if self.starts is not None:
+            state.update(np.ascontiguousarray(self.starts, np.int64))
+            state.update(np.ascontiguousarray(self.ends, np.int64))
+        return state.digest()
+
 
 def base_spans(text: str) -> Iterator[tuple[str, int, int]]:
     lower = text.lower()
@@ -219,14 +228,14 @@ def scan(text: str, limit: int = MAX_LAYER) -> tuple[list, list]:
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     base = sorted(base_spans(text), key=order)
     found, work = set(base), [Layer(text)]
-    seen = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
+    seen = {work[0].digest()}
     while work:
         layer = work.pop()
         for inner in (*_unescaped(layer), *_unpacked(layer, limit)):
             if not isinstance(inner, Layer):
                 found.add(("oversize", *inner))
                 continue
-            digest = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest()
+            digest = inner.digest()
             if digest in seen:
                 continue
             seen.add(digest)

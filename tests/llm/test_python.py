@@ -58,6 +58,19 @@ def test_odd_layers_end():
     assert secrets.scan(bomb, limit=1000)[1] == [("oversize", 0, len(bomb))]
 
 
+def test_repeated_payloads():
+    run = base64.b64encode(KEY.encode()).decode()
+    packed = base64.b64encode(gzip.compress(KEY.encode())).decode()
+    for payload in (run, packed):
+        text = f"a {payload} b\n{payload} c {payload}"
+        clean = secrets.redact(text, secrets.scan(text)[1])
+        assert payload not in clean and clean.count(secrets.MARK) == 3
+    nested = base64.b64encode(f"{run} x {run}".encode()).decode()
+    text = f"{nested} {nested}"
+    places = [s[1] for s in secrets.scan(text)[1] if s[0] == "assign"]
+    assert sum(p < len(nested) for p in places) == 2 and sum(p > len(nested) for p in places) == 2
+
+
 def test_secret_tables(frame):
     docs = frame([(1, KEY + " end"), (2, None), (None, ""), (1, KEY + " end")])
     rows = secrets.find(docs).collect()
