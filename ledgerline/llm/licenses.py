@@ -1,8 +1,8 @@
 """License scan with a positional index of rare words.
 
 An index holds every word of the license templates with its places. The inverse document frequency
-of these words is counted over all texts. The rarest license words of a file are looked up; a
-template is met where they stand at the same distances as in the template, that is, where place in
+of these words is counted over all texts. All license words of a file are looked up, which is
+bounded by the templates; a template is met where they stand at the same distances as in the template, that is, where place in
 file minus place in template is one number. A meeting counts if the template's mandatory phrases
 stand there at the same shift.
 
@@ -81,7 +81,6 @@ COMMON = frozenset(
     " the this to use with without you can under terms following free 0 2 3 4".split()
 )
 
-RARE_WORDS = 16
 LEAST_SHARE = 0.5
 
 
@@ -169,23 +168,14 @@ def meetings(rows: DataFrame, index: Index, idf: dict[str, float]) -> DataFrame:
     """``(doc, mark, template, shift, share)``: share of a template's rare words, by weight, that
     stand at one shift; only meetings of at least ``LEAST_SHARE``."""
     spark = rows.sparkSession
-    rarest_first = sorted(index.rare, key=lambda w: (-idf[w], w))
     weight = [sum(idf[w] for w in words if w in idf) for words in index.words]
     postings = spark.createDataFrame(
         [(w, t, i, idf[w] / weight[t]) for w, t, i in index.postings()],
         "word string, template int, place int, share double",
     )
-    own = F.array_distinct("seen.word")
-    rarest = F.slice(
-        F.filter(_strings(rarest_first), lambda w: F.array_contains("own", w)), 1, RARE_WORDS
+    anchors = rows.select("doc", "mark", F.explode("seen").alias("at")).select(
+        "doc", "mark", F.col("at.word").alias("word"), F.col("at.place").alias("found")
     )
-    files = rows.where(F.size("seen") > 0).select("doc", "mark", "seen", own.alias("own"))
-    files = files.select("doc", "mark", "seen", rarest.alias("rarest"))
-    anchors = files.select(
-        "doc",
-        "mark",
-        F.explode(F.filter("seen", lambda x: F.array_contains("rarest", x["word"]))).alias("at"),
-    ).select("doc", "mark", F.col("at.word").alias("word"), F.col("at.place").alias("found"))
     return (
         anchors.join(F.broadcast(postings), "word")
         .groupBy("doc", "mark", "template", (F.col("found") - F.col("place")).alias("shift"))

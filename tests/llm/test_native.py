@@ -115,6 +115,15 @@ def test_licenses(frame):
     assert by_text[None] == "cc-by-nc" and by_text[6] == "bsd" and by_text[3] == ""
 
 
+def test_licenses_of_a_long_notices_file(frame):
+    rows = [(i, f"{text} and other words") for i, (_, text, _) in enumerate(licenses.TEMPLATES) for _ in range(i + 1)]
+    prose = " a long document that has other words " * 200
+    rows.append((-1, prose.join(text for _, text, _ in licenses.TEMPLATES)))
+    (found,) = (r for r in licenses.scan(frame(rows)).collect() if r["doc_id"] == -1)
+    assert found["labels"].split(",") == sorted({label for label, *_ in licenses.TEMPLATES})
+    assert found["score"] == 1.0
+
+
 PROSE = "several ordinary words make this line long enough to be kept by all the rules"
 GRADED = [
     (1, PROSE),
