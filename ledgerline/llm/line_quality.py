@@ -8,8 +8,9 @@ Lines have no labels. In training every line of a document has the document's la
 learns what lines of good and bad documents look like and how states follow each other. It is
 fitted by gradient ascent on a bounded sample: at most ``SAMPLE`` labelled documents, the first by
 a hash of the id, so the sample is spread evenly over the labelled rows; of them at most
-``SAMPLE_LINES`` lines in all. Rows of the held-out share never are in it. Labels, language,
-source and id are no features.
+``SAMPLE_LINES`` lines in all. A document whose lines no longer fit into that is passed over and
+the next ones are taken. Rows of the held-out share never are in it. Labels, language, source and
+id are no features.
 
 Null and empty texts have no lines and the score of the training rows' share of good documents.
 Repeated rows and null ids each give a row; a null id is hashed as empty text. Labels without a
@@ -32,6 +33,7 @@ from .words import whole
 
 SAMPLE = 3000
 SAMPLE_LINES = 200_000
+BATCH_LINES = 1 << 16
 STEPS = 150
 RATE = 0.1
 PENALTY = 1e-3
@@ -129,6 +131,18 @@ def _padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, there
 
 
+def _batches(sizes: list[int], most: int = BATCH_LINES) -> list[list[int]]:
+    """Chains of like length side by side: at most ``most`` lines with the padding, unless one
+    chain is longer, and no chain padded to more than twice its length."""
+    parts, shortest = [], 0
+    for i in np.argsort(sizes, kind="stable").tolist():
+        if not parts or sizes[i] > 2 * shortest or (len(parts[-1]) + 1) * sizes[i] > most:
+            parts.append([])
+            shortest = sizes[i]
+        parts[-1].append(i)
+    return parts
+
+
 def _expected(x, there, state, move):
     """Marginals of states and summed marginals of pairs for a batch of chains."""
     n, longest = there.shape
@@ -161,10 +175,8 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, steps: int = STEPS) -> Field
     state, move = np.zeros(width), np.zeros((2, 2))
     if not docs or len(set(labels.tolist())) < 2:
         return Field(state, move, 0.5)
-    order = np.argsort([len(d) for d in docs], kind="stable")
     batches = []
-    for at in range(0, len(order), 128):  # chains of like length side by side
-        part = order[at : at + 128]
+    for part in _batches([len(d) for d in docs]):
         x, there = _padded([docs[i] for i in part])
         batches.append((x, there, labels[part].astype(float)))
     total = sum(map(len, docs))
@@ -190,10 +202,6 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(3)) == 1
 
 
-def _feature_lists(texts: pd.Series) -> pd.Series:
-    return pd.Series([features(t)[0].ravel() for t in texts], dtype=object)
-
-
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -211,13 +219,18 @@ def train(
     wanted = wanted.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("label").alias("label"))
     chosen = wanted.orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = docs.select(F.col(doc_id).alias("id"), whole(text).alias("body"))
-    listed = F.pandas_udf(_feature_lists, ArrayType(DoubleType()))
+
+    def feature_lists(texts: pd.Series) -> pd.Series:
+        fits = [t if t.count("\n") < lines or len(lines_of(t)) <= lines else "" for t in texts]
+        return pd.Series([features(t)[0].ravel() for t in fits], dtype=object)
+
+    listed = F.pandas_udf(feature_lists, ArrayType(DoubleType()))
     found = rows.join(F.broadcast(chosen), "id").select("id", "label", listed("body").alias("x"))
     kept, total = [], 0
     for r in found.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").toLocalIterator():
         x = np.array(r["x"]).reshape(-1, 3 * FEATURES + 3)
         if total + len(x) > lines:
-            break
+            continue
         if len(x):
             kept.append((x, r["label"]))
             total += len(x)

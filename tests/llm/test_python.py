@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from ledgerline.llm import line_quality, secrets, sentencepieces, sharding, token_counts, warc
 
@@ -186,6 +187,27 @@ def test_line_quality(spark, small_dir):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_long_documents_in_the_sample(spark, frame):
+    good, bad = "A sentence of plain words.\nAnother one follows it.", "### $$$ !!!\n%% ## $$"
+    texts = [(i, good if i % 2 else bad) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    usable = spark.range(60).where(~line_quality.held_out(F.col("id")))
+    first = usable.orderBy(F.xxhash64("id"), "id").first()["id"]
+    texts[first] = (first, "\n".join([texts[first][1]] * 500))
+    field = line_quality.train(frame(texts), labels, lines=200)
+    assert field.score(good) > 0.5 > field.score(bad)
+
+
+def test_batches_are_bounded_by_padded_size():
+    rng = np.random.default_rng(1)
+    sizes = [*rng.integers(1, 60, 500).tolist(), 20_000, 70_000]
+    parts = line_quality._batches(sizes)
+    assert sorted(i for part in parts for i in part) == list(range(len(sizes)))
+    padded = [len(part) * max(sizes[i] for i in part) for part in parts]
+    assert all(p <= line_quality.BATCH_LINES or len(part) == 1 for p, part in zip(padded, parts))
+    assert sum(padded) <= 2 * sum(sizes)
+
+
 def test_line_quality_edges(spark, frame):
     docs = frame([(1, None), (2, ""), (None, "a line\n\n b"), (2, "x"), (3, " \n")])
     none = spark.createDataFrame([], "doc_id bigint, quality int")
