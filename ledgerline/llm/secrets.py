@@ -7,8 +7,10 @@ cycles end; the same payload at another place is another layer. Every character
 the span of the text that it comes from, so findings are reported in places of the text, in code
 points. What is found in the text itself stays as it is; a layer adds spans.
 
-A compressed layer beyond ``max_layer`` bytes is not unpacked further; it is reported as a span of
-kind ``oversize``, so it is never passed over in silence.
+All members and frames of compressed bytes are unpacked, and what stands behind them is looked at
+too. A layer beyond ``limit`` bytes, or one whose dictionary is beyond ``MAX_DICTIONARY``, is not
+unpacked further; it is reported as a span of kind ``oversize``. A stream that breaks off or is
+damaged is unpacked up to there and reported as ``broken``. So none is passed over in silence.
 
 Null and empty texts have no spans. Repeated rows and null ids each give a row; an empty table
 gives an empty result. Only the named columns are read, so other columns may have any name.
@@ -17,7 +19,6 @@ gives an empty result. Only the named columns are read, so other columns may hav
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -37,7 +38,8 @@ from .batches import bounded
 from .words import whole
 
 MAX_LAYER = 64 << 20
-KINDS = ("assign", "access", "hex", "oversize")
+MAX_DICTIONARY = 128 << 20
+KINDS = ("assign", "access", "hex", "oversize", "broken")
 MARK = "[SECRET]"
 
 # ``re.ASCII`` with ``re.IGNORECASE`` matches letters of ASCII only.
@@ -56,6 +58,20 @@ UNICODE_ESCAPE = re.compile(
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 MAGIC = (b"\x1f\x8b", b"x\x01", b"x\x5e", b"x\x9c", b"x\xda", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
+SKIPPED = re.compile(rb"[\x50-\x5f]\x2a\x4d\x18", re.DOTALL)  # a frame of zstd without content
+STRONG = rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd"
+STRONG_MAGIC = re.compile(STRONG + rb"|\Ax[\x01\x5e\x9c\xda]")  # two bytes count at the start only
+ANY_MAGIC = re.compile(STRONG + rb"|x[\x01\x5e\x9c\xda]")
+# No finding and no encoded one is shorter.
+STRETCH = re.compile("[^\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\ud800-\udfff]{16,}")
+
+
+def _digest(raw: bytes, *places: np.ndarray | None) -> bytes:
+    state = hashlib.sha256(raw)
+    for x in places:
+        if x is not None and len(x):  # one value for all, without its copies
+            state.update(np.ascontiguousarray(x[:1] if x.strides == (0,) else x, np.int64))
+    return state.digest()
 
 
 @dataclass
@@ -73,11 +89,7 @@ class Layer:
 
     def digest(self) -> bytes:
         """Tells layers apart by text and places."""
-        state = hashlib.sha256(self.text.encode("utf-8", "surrogatepass"))
-        if self.starts is not None:
-            state.update(np.ascontiguousarray(self.starts, np.int64))
-            state.update(np.ascontiguousarray(self.ends, np.int64))
-        return state.digest()
+        return _digest(self.text.encode("utf-8", "surrogatepass"), self.starts, self.ends)
 
 
 def base_spans(text: str) -> Iterator[tuple[str, int, int]]:
@@ -141,86 +153,166 @@ class Oversize(Exception):
     pass
 
 
-def _inflated(raw: bytes, limit: int) -> bytes | None:
-    """Unpacked bytes, None if these are no compressed bytes."""
+class _Zstd:
+    """A frame of zstd by the interface of the other decompressors; output a call is bounded by
+    the size of the pieces that it is fed."""
+
+    def __init__(self):
+        self.packer = zstandard.ZstdDecompressor(max_window_size=MAX_DICTIONARY).decompressobj()
+
+    def __getattr__(self, name):
+        return getattr(self.packer, name)
+
+    def decompress(self, raw: bytes, _most: int) -> bytes:
+        return self.packer.decompress(raw)
+
+
+def _packer(raw: bytes):
     if raw.startswith(b"\x1f\x8b"):
-        packer = zlib.decompressobj(31)
-    elif raw.startswith(b"BZh"):
-        packer = bz2.BZ2Decompressor()
-    elif raw.startswith(b"\xfd7zXZ\x00"):
-        packer = lzma.LZMADecompressor(memlimit=limit)
-    elif raw.startswith(b"\x28\xb5\x2f\xfd"):
+        return zlib.decompressobj(31)
+    if raw.startswith(b"BZh"):
+        return bz2.BZ2Decompressor()
+    if raw.startswith(b"\xfd7zXZ\x00"):
+        return lzma.LZMADecompressor(memlimit=MAX_DICTIONARY)
+    if raw.startswith(b"\x28\xb5\x2f\xfd"):
+        return _Zstd()
+    return zlib.decompressobj() if raw.startswith(MAGIC) else None
+
+
+ERRORS = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError)
+FEED = 512
+
+
+def _member(raw: bytes, limit: int, slow: int | None = None) -> tuple[bytes, int, str]:
+    """Unpacked bytes of the first member, its length, and "ended", "cut" or "damaged". From
+    ``slow`` on it is fed by single bytes, for what stands just before the damage."""
+    packer, parts, total, at = _packer(raw), [], 0, 0
+    while at < len(raw):
+        piece = raw[at : at + (FEED if slow is None or at < slow else 1)]
         try:
-            with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(raw) as stream:
-                out = stream.read(limit + 1)
-        except zstandard.ZstdError:
-            return None
-        if len(out) > limit:
+            out = packer.decompress(piece, limit + 1 - total)
+        except ERRORS as e:
+            if "emory" in str(e):  # "Memory usage limit exceeded", "requires too much memory"
+                raise Oversize from e
+            return _member(raw, limit, at) if slow is None else (b"".join(parts), at, "damaged")
+        parts.append(out)
+        total += len(out)
+        if total > limit:
             raise Oversize
-        return out
-    elif raw.startswith(MAGIC):
-        packer = zlib.decompressobj()
-    else:
-        return None
-    try:
-        out = packer.decompress(raw, limit + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    if len(out) > limit:
-        raise Oversize
-    return out
+        at += len(piece)
+        if packer.eof:
+            return b"".join(parts), at - len(packer.unused_data), "ended"
+    return b"".join(parts), len(raw), "cut"
+
+
+def _inflated(raw: bytes, limit: int) -> tuple[bytes, int, bool] | None:
+    """Unpacked bytes of all members, how many bytes they take, and whether the last came to its
+    end; None if these are no compressed bytes."""
+    parts, total, at = [], 0, 0
+    while raw.startswith(MAGIC, at) or SKIPPED.match(raw, at):
+        if SKIPPED.match(raw, at):
+            at += 8 + int.from_bytes(raw[at + 4 : at + 8], "little")
+            continue
+        out, size, end = _member(raw[at:], limit - total)
+        weak = raw.startswith(b"x", at)  # two bytes that may well be others
+        if end != "ended" and (not STRETCH.search(_lossy(out)) if weak else not out and end != "cut"):
+            break
+        parts.append(out)
+        total += len(out)
+        at += size
+        if end != "ended":
+            return b"".join(parts), len(raw), False
+    return (b"".join(parts), min(at, len(raw)), True) if parts else None
 
 
-def _readable(raw: bytes) -> str | None:
-    """UTF-8 text in which at least nine of ten characters are printable."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
+def _lossy(raw: bytes) -> str:
+    return raw.decode("utf-8", "surrogateescape")
+
+
+@dataclass
+class Blob:
+    """Bytes with the span of the first text behind each."""
+
+    raw: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+
+    def texts(self) -> Iterator[Layer]:
+        """Stretches of printable UTF-8, long enough for a finding or a further layer."""
+        text, at, offset = _lossy(self.raw), 0, 0
+        for m in STRETCH.finditer(text):
+            offset += len(text[at : m.start()].encode("utf-8", "surrogateescape"))
+            own = np.frombuffer(m[0].encode(), np.uint8)
+            first = offset + np.flatnonzero(own & 0xC0 != 0x80)
+            offset, at = offset + len(own), m.end()
+            if self.starts.strides == (0,):
+                yield Layer(m[0], np.broadcast_to(self.starts[0], len(first)), np.broadcast_to(self.ends[0], len(first)))
+            else:
+                yield Layer(m[0], self.starts[first], self.ends[np.append(first[1:], offset) - 1])
+
+
+def _dug(blob: Blob, limit: int) -> Iterator[Layer | tuple[str, int, int]]:
+    """Texts in the bytes and in what is compressed there; bare spans: streams by how they end."""
+    work, seen, magic = [blob], set(), ANY_MAGIC
+    while work:
+        blob = work.pop()
+        if (digest := _digest(blob.raw, blob.starts, blob.ends)) in seen:
+            continue
+        seen.add(digest)
+        yield from blob.texts()
+        at = 0
+        while m := magic.search(blob.raw, at):
+            at = m.start()
+            try:
+                found = _inflated(blob.raw[at:], limit)
+            except Oversize:
+                yield "oversize", int(blob.starts[at:].min()), int(blob.ends[at:].max())
+                break
+            if found is None:
+                at += 1
+                continue
+            out, size, ended = found
+            first, last = int(blob.starts[at : at + size].min()), int(blob.ends[at : at + size].max())
+            yield "ended" if ended else "broken", first, last
+            if out:
+                work.append(Blob(out, *(np.broadcast_to(np.int64(x), len(out)) for x in (first, last))))
+            at += size
+        magic = STRONG_MAGIC
+
+
+def _from_base64(layer: Layer, at: np.ndarray, end: int) -> Blob | None:
+    """The bytes of the base64 characters at these places of a layer, padding up to ``end``; None
+    if there is nothing to be found in them."""
+    at = at[: len(at) - (len(at) % 4 == 1)]
+    run = "".join([layer.text[i] for i in at.tolist()]).replace("-", "+").replace("_", "/")
+    raw = base64.b64decode(run + "=" * (-len(run) % 4))
+    if not ANY_MAGIC.search(raw) and not STRETCH.search(_lossy(raw)):
         return None
-    good = sum(c.isprintable() or c in "\t\r\n" for c in text)
-    return text if text and 10 * good >= 9 * len(text) else None
+    group = np.arange(len(raw)) // 3 * 4  # three bytes for four characters
+    first, last = at[group], at[np.minimum(group + 3, len(at) - 1)]
+    last[group + 4 >= len(at)] = end - 1
+    return Blob(raw, *((first, last + 1) if layer.starts is None else (layer.starts[first], layer.ends[last])))
 
 
-def _unpacked(layer: Layer, limit: int) -> Iterator[Layer | tuple[int, int]]:
-    """Layers of base64 runs, directly or through compression; a bare span: oversize."""
+def _blobs(layer: Layer) -> Iterator[Blob]:
     for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(
-                run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True
-            )
-        except binascii.Error:
-            continue
-        whole_run = layer.span(*m.span())
-        packed, depth_of = raw, 0
-        try:
-            seen = set()
-            while packed.startswith(MAGIC) and (d := hashlib.sha256(packed).digest()) not in seen:
-                seen.add(d)
-                inner = _inflated(packed, limit)
-                if inner is None:
-                    break
-                packed, depth_of = inner, depth_of + 1
-        except Oversize:
-            yield whole_run
-            continue
-        text = _readable(packed)
-        if text is None:
-            continue
-        if depth_of:
-            starts, ends = np.full(len(text), whole_run[0]), np.full(len(text), whole_run[1])
-        else:  # three bytes for four characters
-            sizes = np.array([len(c.encode()) for c in text])
-            last = np.cumsum(sizes)
-            at = m.start() + (last - sizes) // 3 * 4
-            until = np.minimum(m.start() + (last - 1) // 3 * 4 + 4, m.end())
-            if layer.starts is None:
-                starts, ends = at, until
+        blob = _from_base64(layer, np.arange(m.start(), m.start() + len(m[0].rstrip("="))), m.end())
+        if blob:
+            yield blob
+
+
+def _unpacked(layer: Layer, limit: int) -> Iterator[Layer | tuple[str, int, int]]:
+    """Layers of bytes that stand encoded in the layer; a bare span: not unpacked further."""
+    ended, broken = set(), []
+    for blob in _blobs(layer):
+        for x in _dug(blob, limit):
+            if isinstance(x, Layer) or x[0] == "oversize":
+                yield x
+            elif x[0] == "ended":
+                ended.add(x[1])
             else:
-                starts, ends = layer.starts[at], layer.ends[until - 1]
-        yield Layer(text, starts, ends)
+                broken.append(x)
+    yield from (x for x in broken if x[1] not in ended)
 
 
 def scan(text: str, limit: int = MAX_LAYER) -> tuple[list, list]:
@@ -233,7 +325,7 @@ def scan(text: str, limit: int = MAX_LAYER) -> tuple[list, list]:
         layer = work.pop()
         for inner in (*_unescaped(layer), *_unpacked(layer, limit)):
             if not isinstance(inner, Layer):
-                found.add(("oversize", *inner))
+                found.add(inner)
                 continue
             digest = inner.digest()
             if digest in seen:

@@ -1,8 +1,10 @@
 """Secrets, shards, pieces, counts, line quality and archives: brute force and round trips."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -59,6 +61,25 @@ def test_odd_layers_end():
     assert secrets.scan(bomb, limit=1000)[1] == [("oversize", 0, len(bomb))]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_members_and_broken_streams(pack):
+    filler = hashlib.sha256(b"1").digest() * 4
+    for raw in (pack(filler) + pack(KEY.encode()), pack(filler) + KEY.encode()):
+        run = base64.b64encode(raw).decode()
+        assert {s[0] for s in secrets.scan(f"a {run} b")[1]} == {"assign"}
+    noise = b"".join(hashlib.sha256(bytes([i])).digest() for i in range(40))
+    run = base64.b64encode(pack(KEY.encode() + b" " + noise)[:-30]).decode()
+    assert any(kind == "broken" for kind, *_ in secrets.scan(f"a {run} b")[1])
+
+
+def test_large_dictionaries():
+    run = base64.b64encode(lzma.compress(KEY.encode(), preset=9)).decode()
+    assert ("assign", 0, len(run)) in secrets.scan(run)[1]
+    filters = [{"id": lzma.FILTER_LZMA2, "preset": 6, "dict_size": 512 << 20}]
+    run = base64.b64encode(lzma.compress(KEY.encode(), filters=filters)).decode()
+    assert ("oversize", 0, len(run)) in secrets.scan(run)[1]
+
+
 def test_repeated_payloads():
     run = base64.b64encode(KEY.encode()).decode()
     packed = base64.b64encode(gzip.compress(KEY.encode())).decode()
