@@ -57,6 +57,14 @@ UNICODE_ESCAPE = re.compile(
     r"|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Runs over several lines, also as written in JSON; a line may be indented or quoted.
+BREAK = r"(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>]*)"
+RUN = "[A-Za-z0-9+/_-]"  # possessive, from its first character: linear in long runs
+WRAPPED = re.compile(rf"(?<!{RUN}){RUN}{{16,}}+(?:{BREAK}{RUN}++)+={{0,2}}")
+BREAKS = re.compile(BREAK)
+ONE_BYTE = re.compile("%[0-9A-Fa-f]{2}|.", re.DOTALL)
+# From twelve characters before the first escape: magic bytes may be written as they are.
+URL_BYTES = re.compile(r"[!-$&-~]{0,12}%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2}|[!-$&-~])*")
 MAGIC = (b"\x1f\x8b", b"x\x01", b"x\x5e", b"x\x9c", b"x\xda", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
 SKIPPED = re.compile(rb"[\x50-\x5f]\x2a\x4d\x18", re.DOTALL)  # a frame of zstd without content
 STRONG = rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd"
@@ -295,10 +303,28 @@ def _from_base64(layer: Layer, at: np.ndarray, end: int) -> Blob | None:
 
 
 def _blobs(layer: Layer) -> Iterator[Blob]:
-    for m in BASE64.finditer(layer.text):
-        blob = _from_base64(layer, np.arange(m.start(), m.start() + len(m[0].rstrip("="))), m.end())
-        if blob:
-            yield blob
+    """Bytes of base64 runs, line by line and joined over lines, from each of the four places
+    where a group of four may begin, as path or name characters may stand before; and compressed
+    bytes below URL escapes."""
+    runs = [(np.arange(m.start(), m.start() + len(m[0].rstrip("="))), m.end()) for m in BASE64.finditer(layer.text)]
+    for m in WRAPPED.finditer(layer.text) if runs else ():
+        body = m[0].rstrip("=")
+        here = np.ones(len(body), bool)
+        for gap in BREAKS.finditer(body):
+            here[gap.start() : gap.end()] = False
+        runs.append((m.start() + np.flatnonzero(here), m.end()))
+    for at, end in runs:
+        for skip in range(4):
+            blob = _from_base64(layer, at[skip:], end)
+            if blob:
+                yield blob
+    for m in URL_BYTES.finditer(layer.text) if "%" in layer.text else ():
+        raw = urllib.parse.unquote_to_bytes(m[0])
+        if not ANY_MAGIC.search(raw):
+            continue
+        last = np.array([e.end() for e in ONE_BYTE.finditer(m[0])]) + m.start()
+        first = np.concatenate(([m.start()], last[:-1]))
+        yield Blob(raw, *((first, last) if layer.starts is None else (layer.starts[first], layer.ends[last - 1])))
 
 
 def _unpacked(layer: Layer, limit: int) -> Iterator[Layer | tuple[str, int, int]]:

@@ -80,6 +80,35 @@ def test_large_dictionaries():
     assert ("oversize", 0, len(run)) in secrets.scan(run)[1]
 
 
+@pytest.mark.parametrize("cut", [64, 76, 30])
+@pytest.mark.parametrize("gap", ["\n", "\r\n", "\n    ", "\\n"])
+def test_wrapped_runs(cut, gap):
+    noise = b"".join(hashlib.sha256(bytes([i])).digest() for i in range(9))
+    for raw in (gzip.compress(noise + KEY.encode()), b"words before the key, some more " + KEY.encode() + b" and after"):
+        run = base64.b64encode(raw).decode()
+        lines = gap.join(run[i : i + cut] for i in range(0, len(run), cut))
+        text = f"see {lines}{gap}End of it"
+        found = [s for s in secrets.scan(text)[1] if s[0] == "assign"]
+        assert found and all(4 <= a < b <= 4 + len(lines) for _, a, b in found)
+        assert not any(kind == "broken" for kind, *_ in secrets.scan(text)[1])
+
+
+@pytest.mark.parametrize("before", ["/v1/", "id_", "a-b/", "name/xy-"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+def test_runs_behind_names(before, pack):
+    run = base64.urlsafe_b64encode(pack(KEY.encode())).decode()
+    found = [s for s in secrets.scan(f"x {before}{run} y")[1] if s[0] == "assign"]
+    assert found and found[-1][2] <= 2 + len(before) + len(run)
+
+
+def test_compressed_bytes_below_escapes_and_other_encodings():
+    for pack in (gzip.compress, zlib.compress, bz2.compress):
+        text = f"x {quote(pack(KEY.encode()))} y"
+        assert any(kind == "assign" for kind, *_ in secrets.scan(text)[1])
+    latin = "é".encode("latin-1") + b" " + base64.b64encode(KEY.encode())
+    assert any(kind == "assign" for kind, *_ in secrets.scan(base64.b64encode(latin).decode())[1])
+
+
 def test_repeated_payloads():
     run = base64.b64encode(KEY.encode()).decode()
     packed = base64.b64encode(gzip.compress(KEY.encode())).decode()
