@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (
     decontaminate,
     licenses,
+    line_dedup,
     line_quality,
     quality_rules,
     secrets,
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_line_quality": line_quality.op9_line_quality,
     "op10_warc": warc.op10_warc,
+    "op13_line_dedup": line_dedup.op13_line_dedup,
 }
 
 ORACLE = {
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
     "op10_warc": warc.OP10_SQL,
+    "op13_line_dedup": line_dedup.OP13_SQL,
 }

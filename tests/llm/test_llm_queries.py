@@ -6,7 +6,7 @@ import corpus_pipeline
 from compare import compare, connect
 from ledgerline.llm.queries import ORACLE, QUERIES
 
-NATIVE = ("op2_decontaminate", "op4_licenses", "op7_quality_rules")
+NATIVE = ("op2_decontaminate", "op4_licenses", "op7_quality_rules", "op13_line_dedup")
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
