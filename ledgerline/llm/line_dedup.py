@@ -36,6 +36,9 @@ FAN = 3
 HOT_LINES = 1000
 SPACES = " \t\n\x0b\x0c\r"
 HASHES = ["h1", "h2"]
+DOCUMENT = "struct<none: boolean, id: bigint>"
+KEYS = "h1 bigint, h2 bigint, seen boolean"
+RUN = f"{KEYS}, first {DOCUMENT}, last {DOCUMENT}, n bigint"
 
 
 def line_key(line: Column) -> Column:
@@ -48,7 +51,7 @@ def _parts(text: Column) -> Column:
 
 def _first(column: str) -> Column:
     """Orders documents by id, those without an id last."""
-    return F.struct(F.col(column).isNull().alias("none"), F.col(column).alias("id"))
+    return F.struct(F.col(column).isNull().alias("none"), F.col(column).cast("bigint").alias("id"))
 
 
 def line_hashes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -105,10 +108,9 @@ class LineRuns:
     def _table(self, run: tuple[int, int]) -> DataFrame:
         if run not in self.tables:
             name = f"line_run_{uuid.uuid4().hex}"
-            columns = ", ".join(f"{n} {t}" for n, t in self.spark.read.parquet(self.path(run)).dtypes)
             keys = ", ".join(HASHES)
             self.spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                f"CREATE TABLE {name} ({KEYS}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
                 f"INTO {self.buckets} BUCKETS LOCATION '{self.path(run)}'"
             )
             self.tables[run] = name
@@ -149,7 +151,7 @@ class LineRuns:
     def decisions(self, batch: int) -> DataFrame:
         """Hashes of a batch that lose lines, with the document that keeps them: none if an earlier
         batch holds the key."""
-        rows = self.spark.read.parquet(self.path((batch, batch)))
+        rows = self.spark.read.schema(RUN).parquet(self.path((batch, batch)))
         rows = rows.where(F.col("seen") | (F.col("first") != F.col("last")))
         keeper = F.when(~F.col("seen"), F.col("first"))
         return rows.select(F.lit(batch).alias("batch"), *HASHES, "n", F.lit(True).alias("again"), keeper.alias("keeper"))
