@@ -7,11 +7,13 @@ from . import (
     licenses,
     line_dedup,
     line_quality,
+    periodic,
     quality_rules,
     secrets,
     sentencepieces,
     sharding,
     simhash,
+    spelling,
     token_counts,
     warc,
 )
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_line_quality": line_quality.op9_line_quality,
     "op10_warc": warc.op10_warc,
+    "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op12_spelling": spelling.op12_spelling,
     "op13_line_dedup": line_dedup.op13_line_dedup,
 }
 

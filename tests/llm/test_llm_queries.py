@@ -17,6 +17,8 @@ def test_sql(spark, small_dir, key):
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_rows(spark, small_dir, key):
     df = QUERIES[key](spark, small_dir)
+    if key == "op12_spelling":  # a row for each word
+        return
     table = "pages" if key == "op10_warc" else "documents"
     assert df.count() == spark.read.parquet(f"{small_dir}/{table}.parquet").count()
     if key in NATIVE:
