@@ -66,6 +66,7 @@ class Pieces:
         ids = [i for i in range(size) if byte[i]]  # in order of the bytes
         self.byte_ids = ids
         self.bytes = {i: b for b, i in enumerate(ids)}
+        self.is_byte = np.array(byte)
         self.longest = max(map(len, self.scores))
         self.ranks = {p: -score for p, (score, _) in self.scores.items()}
         # No piece may reach over an end of a word, so the table decides where words end.
@@ -264,17 +265,17 @@ class Decoder:
         return pd.Series([self.decode(r) for r in rows], dtype=object)
 
     def decode(self, ids) -> str:
-        table, out, run = pieces(self.model), [], bytearray()
-        for i in np.asarray(ids).tolist():
-            byte = table.bytes.get(i)
-            if byte is not None:
-                run.append(byte)
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run.clear()
-            out.append(table.names[i])
-        out.append(run.decode("utf-8", "replace"))
+        table, ids = pieces(self.model), np.asarray(ids, np.int64)
+        is_byte = table.is_byte[ids]
+        # Stretches of pieces and of bytes take turns.
+        ends = [*(np.flatnonzero(is_byte[1:] != is_byte[:-1]) + 1).tolist(), len(ids)]
+        out, at, flags, ids = [], 0, is_byte.tolist(), ids.tolist()
+        for end in ends if ids else ():
+            if flags[at]:
+                out.append(bytes(map(table.bytes.__getitem__, ids[at:end])).decode("utf-8", "replace"))
+            else:
+                out += map(table.names.__getitem__, ids[at:end])
+            at = end
         text = "".join(out).replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
@@ -308,8 +309,8 @@ def decoded(ids: Column, model: str = MODEL) -> Column:
 
 
 def encode(docs: DataFrame, text: str = "text", name: str = "ids", **options) -> DataFrame:
-    """``docs`` with the ids of ``text`` in a column more."""
-    return docs.select("*", encoder(docs, text, **options)(F.col(text)).alias(name))
+    """``docs`` with the ids of ``text`` in a column more; a column of that name is replaced."""
+    return docs.withColumn(name, encoder(docs, text, **options)(F.col(text)))
 
 
 def op6_sentencepieces(spark, sf_dir: str) -> DataFrame:
