@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import MAX_BROADCAST_ROWS, fits_broadcast, matching
-from .words import alnum_words, whole, window_hashes, window_minima
+from ..sources.scratch import written
+from .words import alnum_words, column, whole, window_hashes, window_minima
 
 N_WORDS = 13
 K_GRAM = 8
@@ -186,9 +187,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options)
     bad = contamination(marked, benchmark, doc_id="digest", text="text", **options)
     names = {f"in_{i}": c for i, c in enumerate(docs.columns)}
     rows = docs.select(
-        *(F.col(c).alias(k) for k, c in names.items()), F.sha2(whole(text), 256).alias("digest")
+        *(column(c).alias(k) for k, c in names.items()), F.sha2(whole(text), 256).alias("digest")
     )
-    bad = bad.where("contaminated").select(F.col("doc_id").alias("digest")).distinct()
+    # Written, as the plan would run once more to measure it.
+    bad = written(bad.where("contaminated").select(F.col("doc_id").alias("digest")).distinct(), "contaminated")
     left = matching(rows, bad, small=fits_broadcast(bad), how="left_anti")
     return left.select(*(F.col(k).alias(c) for k, c in names.items()))
 

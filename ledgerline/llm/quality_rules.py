@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .words import covered, space_words, whole, window_hashes
+from .words import column, covered, space_words, whole, window_hashes
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
@@ -47,7 +47,7 @@ RULES = (
 
 def prepared(docs: DataFrame, text: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
     """``extra`` columns as they are (``in_0``, ``in_1``, ...), with the text and its words."""
-    kept = [F.col(c).alias(f"in_{i}") for i, c in enumerate(extra)]
+    kept = [column(c).alias(f"in_{i}") for i, c in enumerate(extra)]
     rows = docs.select(*kept, whole(text).alias("body"))
     return rows.select("*", space_words(F.col("body")).alias("words"))
 

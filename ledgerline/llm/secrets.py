@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .batches import bounded
-from .words import whole
+from .words import column, whole
 
 MAX_LAYER = 64 << 20
 MAX_DICTIONARY = 128 << 20
@@ -410,12 +410,12 @@ def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = None) ->
     bounded(docs.sparkSession)
     new = F.when(F.col(text).isNotNull(), F.pandas_udf(_redacted, StringType())(whole(text)))
     kind = docs.schema[text].dataType
-    rows = docs.select(*(new.cast(kind).alias(c) if c == text else F.col(c) for c in docs.columns))
+    rows = docs.select(*(new.cast(kind).alias(c) if c == text else column(c) for c in docs.columns))
     if n_chars is None:
         return rows
     length = F.char_length(F.col(text)).cast(docs.schema[n_chars].dataType)
     counted = F.when(F.col(text).isNull(), F.col(n_chars)).otherwise(length)
-    return rows.select(*(counted.alias(c) if c == n_chars else F.col(c) for c in rows.columns))
+    return rows.select(*(counted.alias(c) if c == n_chars else column(c) for c in rows.columns))
 
 
 def op1_secrets(spark, sf_dir: str) -> DataFrame:

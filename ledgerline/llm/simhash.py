@@ -27,7 +27,7 @@ from ..operators.joins import fits_broadcast, matching
 from ..sources.scratch import written
 from .batches import bounded
 from .graph import components
-from .words import whole
+from .words import column, whole
 
 RADIUS = 2
 SHINGLE = 3
@@ -205,7 +205,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         .groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     )
     names = {f"in_{i}": c for i, c in enumerate(docs.columns)}
-    rows = docs.select(*(F.col(c).alias(k) for k, c in names.items()), _key(doc_id, text).alias("key"))
+    rows = docs.select(*(column(c).alias(k) for k, c in names.items()), _key(doc_id, text).alias("key"))
     left = matching(rows, gone, small=fits_broadcast(gone), how="left_anti")
     if not twice.isEmpty():
         small = fits_broadcast(twice)

@@ -27,6 +27,11 @@ def alnum_words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), NOT_ALNUM), "")
 
 
+def column(name: str) -> Column:
+    """A column by its name, whatever characters the name has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def whole(text: str) -> Column:
     """The text of a row; a null text is empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
