@@ -22,8 +22,8 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -212,20 +212,26 @@ def segmented(edges: DataFrame) -> DataFrame:
     return rows.select("word", segments.alias("segments"))
 
 
+def packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class Memory(dict):
-    """Ids by word: the known words, and others as they come up, at most ``REMEMBERED`` of them."""
+    """Packed ids by word: the known words, and others as they come up, at most ``REMEMBERED`` of
+    them."""
 
     def __init__(self, known: dict, table: Pieces):
         super().__init__(known)
-        self.known, self.table, self.most = known, table, len(known) + REMEMBERED
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.table.ids(self.table.merged(word)))
-        if len(word) <= LONGEST:
-            if len(self) >= self.most:
-                self.clear()
-                self.update(self.known)
-            self[word] = ids
+        self.known, self.table, self.others = known, table, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.others.get(word)
+        if ids is None:
+            ids = packed(self.table.ids(self.table.merged(word)))
+            if len(word) <= LONGEST:
+                if len(self.others) >= REMEMBERED:
+                    self.others.clear()
+                self.others[word] = ids
         return ids
 
 
@@ -243,7 +249,7 @@ class Encoder:
         if not text:
             return np.zeros(0, np.int32)
         words = pieces(self.model).words(SPACE + text.replace(" ", SPACE))
-        return np.fromiter(chain.from_iterable(map(ids_of, words)), np.int32)
+        return np.frombuffer(b"".join(map(ids_of, words)), np.int32)
 
 
 _memories: dict[str, Memory] = {}
@@ -286,7 +292,7 @@ def encoder(docs: DataFrame, text: str = "text", model: str = MODEL, known_words
     bounded(spark)
     words = written(segmented(lattice(frequent_words(docs, text, known_words, table.word), table)), "words")
     # At most ``known_words`` rows of at most ``LONGEST`` characters.
-    known = {r["word"]: tuple(table.ids(r["segments"])) for r in words.toLocalIterator()}
+    known = {r["word"]: packed(table.ids(r["segments"])) for r in words.toLocalIterator()}
     run = Encoder(spark.sparkContext.broadcast(known), model)
 
     def ids(texts: pd.Series) -> pd.Series:
