@@ -36,6 +36,7 @@ INVALID_LENGTHS = {
     "appl_province": 10,
 }
 ERROR_TEXT_LENGTH = 2000
+ODD_RECORDS = "have other than 30 fields"
 
 # Collations that stand for the key comparisons (case and accents ignored;
 # the first also ignores trailing spaces).

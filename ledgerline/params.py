@@ -31,6 +31,7 @@ class Params:
     final_valid_table: str = "final_valid"
     final_invalid_table: str = "final_invalid"
     file_log: str = "ods_file_load_log"
+    bad_records: str = "ods_bad_records"
     done_log: str = "stage_file_done"
     run_log: str = "run_log"
     mode: str = "all_not_success"

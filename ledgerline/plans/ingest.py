@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 from .. import constants as C, schemas
 from ..operators.upsert import delete_files
 from ..params import INGEST_MODES, Params
-from ..sources.csv_files import damaged_files, list_files, read_files, with_row_numbers
+from ..sources.csv_files import Loaded, UNDECODABLE, list_files, read_files, write_failed_list
 from ..sources.tables import Tables
 
 Item = TypeVar("Item")
@@ -65,72 +65,109 @@ def ingest(
     skip_unchanged: bool = True,
     encodings: Sequence[str] = ("UTF-8",),
     replace_rows: bool | None = None,
+    failed_list: str | None = None,
 ) -> str:
     """Load the CSV files of a folder; returns the batch id.
 
-    Files that cannot be read are logged as FAILED, all others still land. ``replace_rows`` first
-    takes out rows that an interrupted run has left of the same files; it is on for all modes but
-    ``full``, which only adds. Of several encodings a file takes the first that reads all of its
-    characters, or the last.
+    Files that cannot be read, that have undecodable characters or a quote that is never closed are
+    logged as FAILED with the reason, and nothing of them lands; all others land. If any has failed,
+    a list of the batch's failed files is written to ``failed_list`` (``failed_files`` beside the tables).
+    Records with other than 30 fields land filled up or cut, as every short or long line does; they
+    are copied to ``params.bad_records``, and the log counts them.
+
+    ``replace_rows`` first takes out rows that an interrupted run has left of the same files; it is on
+    for all modes but ``full``, which only adds. Of several encodings a file takes the first that reads
+    all of its characters.
     """
     spark = tables.spark
-    log = tables.read(params.file_log, schemas.FILE_LOG).where(
-        (F.col("batch_id") == params.batch_id) & (F.col("table_name") == params.ods_table)
-    )
+    log = tables.read(params.file_log, schemas.FILE_LOG, only=lambda b: b == params.batch_id)
+    log = log.where(F.col("table_name") == params.ods_table)
     todo = files_to_load(list_files(spark, folder), log, mode, skip_unchanged).collect()
     if not todo:
         return params.batch_id
     loaded: list[tuple[DataFrame, str, list[Row]]] = []
+    bad: list[tuple[Row, str]] = []
 
     def load(files: list[Row], choices: Sequence[str] = tuple(encodings)) -> None:
-        sizes = {f.file_path: f.file_size for f in files}
-        rows = with_row_numbers(read_files(spark, sizes, choices[0]))
-        good = files
-        if len(choices) > 1:
-            bad = {r[0] for r in damaged_files(rows).toLocalIterator()}
-            if bad:
-                good = [f for f in files if f.file_name not in bad]
-                load([f for f in files if f.file_name in bad], choices[1:])
-                rows = rows.where(~F.col("_source_file").isin(sorted(bad)))
+        found: Loaded = read_files(spark, {f.file_path: f.file_size for f in files}, choices[0])
+        why = found.bad_files
+        again = [f for f in files if len(choices) > 1 and UNDECODABLE in why.get(f.file_name, "")]
+        if again:
+            load(again, choices[1:])
+        bad.extend((f, why[f.file_name]) for f in files if f.file_name in why and f not in again)
+        good = [f for f in files if f.file_name not in why]
         if good:
-            loaded.append((rows, choices[0], good))
+            loaded.append((found.rows, choices[0], good))
 
-    failures = isolate_failures(todo, load)
+    failures = isolate_failures(todo, load) + bad
+    stored = None
     if loaded:
-        _store(tables, params, loaded, mode != "full" if replace_rows is None else replace_rows)
-    _log_files(tables, params, loaded, failures)
+        stored = _store(tables, params, loaded, mode != "full" if replace_rows is None else replace_rows)
+    _log_files(tables, params, loaded, stored, failures)
+    if failures:
+        log = tables.read(params.file_log, schemas.FILE_LOG, only=lambda b: b == params.batch_id)
+        place = failed_list or f"{tables.path('failed_files')}/{params.batch_id}"
+        write_failed_list(log.where(F.col("table_name") == params.ods_table), place)
     return params.batch_id
 
 
-def _store(tables: Tables, params: Params, loaded, replace_rows: bool) -> None:
+def _store(tables: Tables, params: Params, loaded, replace_rows: bool) -> DataFrame:
+    """Write the rows; returns them as they are stored, with ``_record``."""
     rows = loaded[0][0]
     for more, _, _ in loaded[1:]:
         rows = rows.unionByName(more)
     no_user = F.lit(None).cast("string")
-    new = rows.withColumns(
+    rows = rows.withColumns(
         {"batch_id": F.lit(params.batch_id), "created_by": no_user, "updated_by": no_user}
-    ).select(*schemas.ODS.fieldNames())
+    )
+    names = [(params.batch_id, f.file_name) for _, _, files in loaded for f in files]
+    files = tables.spark.createDataFrame(names, "batch_id string, _source_file string")
+    new = tables.write(rows.select(*schemas.ODS.fieldNames(), "_record"), params.ods_table, "batch_id", odd=F.count("_record"))
+    left = None
     if replace_rows:
-        names = [(params.batch_id, f.file_name) for _, _, files in loaded for f in files]
-        files = tables.spark.createDataFrame(names, "batch_id string, _source_file string")
-        old = tables.read(params.ods_table, schemas.ODS)
-        old = old.where(F.col("batch_id") == params.batch_id)
+        old = tables.read(params.ods_table, schemas.ODS, only=lambda b: b == params.batch_id)
         present = old.select("batch_id", "_source_file").distinct()
         if not present.join(files, ["batch_id", "_source_file"], "left_semi").isEmpty():
-            both = delete_files(old, files).unionByName(new)
-            tables.replace_partitions(both, params.ods_table, "batch_id")
-            return
-    tables.append(new, params.ods_table, "batch_id")
-
-
-def _log_files(tables: Tables, params: Params, loaded, failures) -> None:
+            left = tables.write(delete_files(old, files), params.ods_table, "batch_id")
+    schema = schemas.T.StructType([*schemas.ODS.fields, schemas.T.StructField("_record", schemas.T.StringType())])
+    stored = tables.rows_of(new, schema)
+    _quarantine(tables, params, stored if new.counts.get("odd") else None, files)
+    if left is None:
+        tables.publish(new)
+    else:
+        tables.publish(left, new, gone=lambda b: b == params.batch_id)
+    return stored
+
+
+def _quarantine(tables: Tables, params: Params, rows: DataFrame | None, files: DataFrame) -> None:
+    """Put copies of the odd records of these files in place of earlier ones."""
+    files = files.select(
+        "batch_id", F.lit(params.ods_table).alias("table_name"), F.col("_source_file").alias("file_name")
+    )
+    keys = ["batch_id", "table_name", "file_name"]
+    old = tables.read(params.bad_records, schemas.BAD_RECORDS, only=lambda b: b == params.batch_id)
+    if rows is None and old.join(files, keys, "left_semi").isEmpty():
+        return
+    kept = old.join(files, keys, "left_anti").select(*schemas.BAD_RECORDS.fieldNames())
+    if rows is not None:
+        odd = rows.where(F.col("_record").isNotNull())
+        kept = kept.unionByName(odd.select(
+            "batch_id", F.lit(params.ods_table).alias("table_name"), F.col("_source_file").alias("file_name"),
+            F.col("_row_num").alias("row_num"), F.col("_record").alias("record"),
+        ))
+    version = tables.write(kept, params.bad_records, "batch_id")
+    tables.publish(version, gone=lambda b: b == params.batch_id)
+
+
+def _log_files(tables: Tables, params: Params, loaded, stored: DataFrame | None, failures) -> None:
     spark = tables.spark
     file_type = "file_path string, file_name string, file_size long, file_mtime timestamp"
     entries = []
-    for rows, encoding, files in loaded:
-        counts = rows.groupBy(F.col("_source_file").alias("file_name")).agg(
-            F.count(F.lit(1)).alias("rows_loaded")
+    if loaded:
+        counts = stored.groupBy(F.col("_source_file").alias("file_name")).agg(
+            F.count(F.lit(1)).alias("rows_loaded"), F.count("_record").alias("odd")
         )
+    for _, encoding, files in loaded:
         listed = spark.createDataFrame(files, file_type)
         entries.append(
             listed.join(counts, "file_name", "left").withColumns(
@@ -138,9 +175,9 @@ def _log_files(tables: Tables, params: Params, loaded, failures) -> None:
                     "rows_loaded": F.coalesce("rows_loaded", F.lit(0)).cast("bigint"),
                     "status": F.lit(C.STATUS_OK),
                     "encoding": F.lit(encoding),
-                    "error_message": F.lit(None).cast("string"),
+                    "error_message": F.when(F.col("odd") > 0, F.concat("odd", F.lit(f" records {C.ODD_RECORDS}"))),
                 }
-            )
+            ).drop("odd")
         )
     if failures:
         failed = [(*file, text) for file, text in failures]

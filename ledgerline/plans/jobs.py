@@ -58,20 +58,23 @@ def _stage_files(tables: Tables, dicts: Dictionaries, params: Params, files: lis
     work = _entries(tables, [(f.batch_id, f.file_name, f.rows_loaded, None, None) for f in files])
     keys = work.select("batch_id", F.col("file_name").alias("_source_file"))
     batches = sorted({f.batch_id for f in files})
-    in_batches = F.col("batch_id").isin(batches)
-    ods = tables.read(params.ods_table, schemas.ODS).where(in_batches)
+    ods = tables.read(params.ods_table, schemas.ODS, only=lambda b: b in batches)
     ods = matching(ods, keys, small=fits_broadcast(keys))
-    if params.delete_before_insert:
-        _delete_from_stage(tables, params, keys, in_batches)
+    left = _without_files(tables, params, keys, batches) if params.delete_before_insert else None
     start = max(
         [max_key(tables.read(t, schemas.STAGE), "stage_id")
          for t in (params.stage_table, *params.start_after)]
         + [_last_entered_key(tables, params)]
     )
     stage = stage_with_ids(ods, dicts, params, start)
-    tables.append(stage.select(*schemas.STAGE.fieldNames()), params.stage_table, "batch_id")
-    stored = tables.read(params.stage_table, schemas.STAGE).where(in_batches)
-    counted = audit.rows_per_file(stored, work.drop("rows_inserted"))
+    new = tables.write(stage.select(*schemas.STAGE.fieldNames()), params.stage_table, "batch_id")
+    # Old rows of these files go and the new ones come in one step.
+    if left is None:
+        tables.publish(new)
+    else:
+        kept, touched = left
+        tables.publish(kept, new, gone=lambda b: b in touched)
+    counted = audit.rows_per_file(tables.rows_of(new, schemas.STAGE), work.drop("rows_inserted"))
     _log_done(tables, params, counted, C.STATUS_OK)
 
 
@@ -101,20 +104,17 @@ def stage_with_ids(
     ).drop("_in_file")
 
 
-def _delete_from_stage(tables: Tables, params: Params, keys: DataFrame, in_batches) -> None:
-    """Rows of files that are not logged as done: left by a run that broke off."""
-    old = tables.read(params.stage_table, schemas.STAGE).where(in_batches)
+def _without_files(tables: Tables, params: Params, keys: DataFrame, batches: list[str]):
+    """Stage without the rows that it has of these files, left by a run that broke off or by files
+    that were replaced: the version with the rows that stay, and the batches that it stands for."""
+    old = tables.read(params.stage_table, schemas.STAGE, only=lambda b: b in batches)
     lineage = old.select("batch_id", "_source_file").distinct()
-    touched = lineage.join(keys, ["batch_id", "_source_file"], "left_semi")
-    batches = {r[0] for r in touched.select("batch_id").distinct().collect()}
-    if not batches:
-        return
-    left = delete_files(old.where(F.col("batch_id").isin(sorted(batches))), keys)
-    kept = {r[0] for r in left.select("batch_id").distinct().collect()}
-    if kept:
-        tables.replace_partitions(left, params.stage_table, "batch_id")
-    for batch in batches - kept:
-        tables.empty_partition(params.stage_table, schemas.STAGE, "batch_id", batch)
+    found = lineage.join(keys, ["batch_id", "_source_file"], "left_semi")
+    touched = {r[0] for r in found.select("batch_id").distinct().collect()}
+    if not touched:
+        return None
+    old = tables.read(params.stage_table, schemas.STAGE, only=lambda b: b in touched)
+    return tables.write(delete_files(old, keys), params.stage_table, "batch_id"), touched
 
 
 def _log_done(tables: Tables, params: Params, files: DataFrame, status: str) -> None:
@@ -134,12 +134,8 @@ def _log_done(tables: Tables, params: Params, files: DataFrame, status: str) ->
 # ---- progress per job, batch and target ----
 
 
-def _state(stage: DataFrame) -> tuple[int, int]:
-    """Highest id and number of rows of a batch of Stage: what a finished job has worked on.
-
-    Ids only grow, also when a file is replaced, so any change of the batch changes these.
-    """
-    return tuple(stage.agg(F.coalesce(F.max("stage_id"), F.lit(0)), F.count(F.lit(1))).first())
+class AuditError(ValueError):
+    """Rows got lost or came up twice; nothing was put to use."""
 
 
 def _last_entered_key(tables: Tables, params: Params) -> int:
@@ -153,54 +149,31 @@ def _jobs(params: Params) -> tuple[str, str, str]:
     return tuple(f"{stem}_{params.table_id}_v1" for stem in stems)
 
 
-def finished(
-    tables: Tables, params: Params, job: str, target: str, state: tuple[int, int]
-) -> bool:
-    """Whether the job was done over the batch as Stage has it now."""
-    log = tables.read(params.run_log, schemas.RUN_LOG).where(
-        (F.col("batch_id") == params.batch_id)
-        & (F.col("job_name") == job)
+def finished(tables: Tables, params: Params, job: str, target: str, version: str) -> bool:
+    """Whether the job was done over the batch as its table has it now; no row is read."""
+    log = tables.read(params.run_log, schemas.RUN_LOG, only=lambda b: b == params.batch_id).where(
+        (F.col("job_name") == job)
         & (F.col("target_table") == target)
         & (F.col("status") == C.STATUS_OK)
-        & (F.col("last_key") == state[0])
-        & (F.col("scanned_rows") == state[1])
+        & (F.col("source_version") == version)
     )
     return not log.isEmpty()
 
 
 def _log_run(
-    tables: Tables, params: Params, job: str, target: str, counts: DataFrame,
+    tables: Tables, params: Params, job: str, target: str, version: str = "", *,
+    last_key: int | None = 0, scanned: int = 0, updated: int = 0, inserted: int = 0,
     status: str = C.STATUS_OK,
 ) -> None:
-    """``counts``: one row with last_key, scanned_rows, updated_rows, inserted_rows."""
-    row = counts.withColumns(
-        {
-            "job_name": F.lit(job),
-            "batch_id": F.lit(params.batch_id),
-            "target_table": F.lit(target),
-            "status": F.lit(status),
-            "created_at": F.lit(params.run_ts),
-            "updated_at": F.lit(params.run_ts),
-        }
-    ).select(*[F.col(f.name).cast(f.dataType) for f in schemas.RUN_LOG.fields])
+    """Enter what a job has done to one batch, with the version of the batch that it worked on."""
+    times = (params.run_ts, params.run_ts)
+    entry = (job, params.batch_id, target, status, version, last_key or 0, scanned, updated, inserted, *times)
+    row = tables.spark.createDataFrame([entry], schemas.RUN_LOG)
     tables.upsert(row, params.run_log, schemas.RUN_LOG, schemas.RUN_LOG_KEY)
 
 
-def _counts(df: DataFrame, params: Params, inserted: bool, state: tuple[int, int]) -> DataFrame:
-    """Rows of the target, entered with the state of Stage that they come from."""
-    rows = F.count(F.lit(1))
-    moved = F.count(F.when(F.col("updated_date") == F.lit(params.run_ts), 1))
-    none = F.lit(0)
-    return df.agg(
-        F.lit(state[0]).alias("last_key"),
-        F.lit(state[1]).alias("scanned_rows"),
-        (none if inserted else moved).alias("updated_rows"),
-        (rows if inserted else none).alias("inserted_rows"),
-    )
-
-
 def _batch(tables: Tables, params: Params, name: str, schema) -> DataFrame:
-    return tables.read(name, schema).where(F.col("batch_id") == params.batch_id)
+    return tables.read(name, schema, only=lambda b: b == params.batch_id)
 
 
 # ---- clean, split ----
@@ -215,14 +188,17 @@ def clean_stage(
     cleaned together with the old ones: the rules change cleaned rows no further, and a repeated
     id stays with its lowest row, which is the older one.
     """
-    job = _jobs(params)[0]
-    rows = _batch(tables, params, params.stage_table, schemas.STAGE)
-    state = _state(rows)
-    if not state[1] or not again and finished(tables, params, job, params.stage_table, state):
+    job, name = _jobs(params)[0], params.stage_table
+    version = tables.version(name, params.batch_id)
+    if not version or not again and finished(tables, params, job, name, version):
         return
-    _swap_batch(tables, params.stage_table, rules.clean(rows, dicts, params))
-    stored = _batch(tables, params, params.stage_table, schemas.STAGE)
-    _log_run(tables, params, job, params.stage_table, _counts(stored, params, False, state))
+    rows = rules.clean(_batch(tables, params, name, schemas.STAGE), dicts, params)
+    moved = F.count_if(F.col("updated_date") == F.lit(params.run_ts))
+    counts = tables.replace_partitions(rows, name, "batch_id", last=F.max("stage_id"), moved=moved)
+    _log_run(
+        tables, params, job, name, tables.version(name, params.batch_id),
+        last_key=counts.get("last"), scanned=counts["rows"], updated=counts.get("moved", 0),
+    )
 
 
 def _swap_batch(tables: Tables, name: str, rows: DataFrame) -> None:
@@ -233,56 +209,104 @@ def split_stage(tables: Tables, params: Params, again: bool = False) -> None:
     """Route one batch to the valid and the invalid table, sorted by id within files.
 
     Rows that a target has already stay as they are, with the results of file checks, unless
-    Stage has lost them; only rows of other ids are added.
+    Stage has lost them; only rows of other ids are added. Every row of Stage has to go to one of the
+    two: if not, an ``AuditError`` is raised, the run is logged as FAILED, and both targets stay.
     """
+    version = tables.version(params.stage_table, params.batch_id)
+    branches = [
+        (job, target, plan)
+        for job, target, plan in (
+            (_jobs(params)[1], params.valid_table, split.split_valid),
+            (_jobs(params)[2], params.invalid_table, split.split_invalid),
+        )
+        if again or not finished(tables, params, job, target, version)
+    ]
+    if not branches:
+        return
     stage = _batch(tables, params, params.stage_table, schemas.STAGE)
-    state = _state(stage)
-    _, valid_job, invalid_job = _jobs(params)
-    for job, target, plan in (
-        (valid_job, params.valid_table, split.split_valid),
-        (invalid_job, params.invalid_table, split.split_invalid),
-    ):
-        if not again and finished(tables, params, job, target, state):
-            continue
+    ids = stage.select(F.col("stage_id").alias("id"))
+    _all_routed(tables, params, stage, branches, version)
+    for job, target, plan in branches:
         rows = plan(stage, params.batch_id, params.min_key)
         existing = _batch(tables, params, target, schemas.PART)
+        lost = False
         if not existing.isEmpty():
-            ids = stage.select(F.col("stage_id").alias("id"))
-            rows = existing.join(ids, "id", "left_semi").unionByName(
-                rows.join(existing.select("id"), "id", "left_anti")
-            )
-        if rows.isEmpty():
-            tables.empty_partition(target, schemas.PART, "batch_id", params.batch_id)
-        else:
-            _swap_batch(tables, target, rows.sortWithinPartitions("id"))
-        stored = _batch(tables, params, target, schemas.PART)
-        _log_run(tables, params, job, target, _counts(stored, params, True, state))
+            rows = rows.join(existing.select("id"), "id", "left_anti")
+            lost = not existing.select("id").join(ids, "id", "left_anti").isEmpty()
+        if lost:
+            rows = existing.join(ids, "id", "left_semi").unionByName(rows)
+        new = tables.write(rows.sortWithinPartitions("id"), target, "batch_id", last=F.max("id"))
+        tables.publish(new, gone=(lambda b: b == params.batch_id) if lost else None)
+        _log_run(
+            tables, params, job, target, version,
+            last_key=new.counts.get("last"), inserted=new.counts["rows"],
+        )
+
+
+def _all_routed(tables: Tables, params: Params, stage: DataFrame, branches, version: str) -> None:
+    """One scan of a few columns of the batch: rows of Stage against rows of both branches."""
+    above = F.lit(True) if params.min_key is None else F.col("stage_id") > params.min_key
+    counts = stage.where(above).agg(F.count(F.lit(1)), F.count_if(split.is_routed()))
+    rows, routed = counts.first()
+    if rows == routed:
+        return
+    for job, target, _ in branches:
+        _log_run(tables, params, job, target, version, scanned=rows, inserted=routed, status=C.STATUS_FAILED)
+    raise AuditError(f"{rows - routed} of {rows} rows of {params.stage_table} go to neither table")
 
 
 # ---- final tables ----
 
+# Final tables are stored by the batch of the partition table that rows come from.
+ORIGIN = ["data_source", "origin", "origin_batch"]
+
 
 def finalize_valid(tables: Tables, params: Params) -> None:
     """Add the valid rows to the final table; rows that are there already are left out."""
-    valid = _one_per_id(tables.read(params.valid_table, schemas.PART))
-    rows = finalize.final_valid(valid, params)
-    ids = tables.read(params.valid_table, schemas.PART).select("id")
-    _add_new(tables, rows, ids, params.final_valid_table, schemas.FINAL_VALID)
+    _finalize(
+        tables, params, params.valid_table, params.final_valid_table, schemas.FINAL_VALID, finalize.final_valid
+    )
 
 
 def finalize_invalid(tables: Tables, params: Params) -> None:
     """Take rows that failed file checks to the invalid table, then all invalid rows to the
     final table."""
-    valid = tables.read(params.valid_table, schemas.PART)
-    invalid = tables.read(params.invalid_table, schemas.PART)
-    late = finalize.failed_checks(valid, invalid, params)
-    if not late.isEmpty():
-        # Read and written table are the same: the new rows are fixed before the append.
-        late = written(late, "failed-checks")
-        tables.append(late.sortWithinPartitions("id"), params.invalid_table, "batch_id")
-    invalid = _one_per_id(tables.read(params.invalid_table, schemas.PART))
-    rows = finalize.final_invalid(invalid, params)
-    _add_new(tables, rows, invalid.select("id"), params.final_invalid_table, schemas.FINAL_INVALID)
+    for (batch,) in tables.partitions(params.valid_table):
+        _take_failed_checks(tables, replace(params, batch_id=batch))
+    _finalize(
+        tables, params, params.invalid_table, params.final_invalid_table, schemas.FINAL_INVALID,
+        finalize.final_invalid,
+    )
+
+
+def _take_failed_checks(tables: Tables, params: Params) -> None:
+    job, target = f"failed_checks_{params.table_id}_v1", params.invalid_table
+    version = tables.version(params.valid_table, params.batch_id)
+    if finished(tables, params, job, target, version):
+        return
+    valid = _batch(tables, params, params.valid_table, schemas.PART)
+    invalid = _batch(tables, params, target, schemas.PART)
+    late = finalize.failed_checks(valid, invalid, params).sortWithinPartitions("id")
+    new = tables.write(late, target, "batch_id", last=F.max("id"))
+    if new.partitions:
+        tables.publish(new)
+    _log_run(tables, params, job, target, version, last_key=new.counts.get("last"), inserted=new.counts["rows"])
+
+
+def _finalize(tables: Tables, params: Params, source: str, target: str, schema, plan) -> None:
+    """Bring every batch of a partition table that has changed since to the final table."""
+    job = f"finalize_{source}_v1"
+    for (batch,) in tables.partitions(source):
+        own = replace(params, batch_id=batch)
+        version = tables.version(source, batch)
+        if finished(tables, own, job, target, version):
+            continue
+        rows = _one_per_id(_batch(tables, own, source, schemas.PART))
+        counts = _add_batch(tables, own, source, plan(rows, own), rows.select("id"), target, schema)
+        _log_run(
+            tables, own, job, target, version,
+            last_key=counts.get("last"), scanned=counts["scanned"], inserted=counts["rows"],
+        )
 
 
 def _one_per_id(rows: DataFrame) -> DataFrame:
@@ -292,33 +316,41 @@ def _one_per_id(rows: DataFrame) -> DataFrame:
     return keep_first(rows, "id", ["_source_file", "_row_num"])
 
 
-def _add_new(tables: Tables, rows: DataFrame, ids: DataFrame, name: str, schema) -> None:
-    """Add rows of new ids to a final table.
+def _add_batch(
+    tables: Tables, params: Params, source: str, rows: DataFrame, ids: DataFrame, target: str, schema
+) -> dict:
+    """Add the rows of one batch whose ids are new.
 
-    An id that stands there for another source or another patent is an error, and nothing is
-    written: two partitions share ids, and one of them has to be placed behind the other. Rows of
-    this source whose ids are no longer in the partition (``ids``), as their file was replaced, go.
+    What the final table has of this batch stays as it is, but for rows whose ids are no longer in the
+    partition table (``ids``): their file was replaced. Rows of other batches and partition tables are
+    not touched, also of the same ``data_source``. An id that stands there for another source or
+    another patent is an error, and nothing is written: two partitions share ids, and one of them has
+    to be placed behind the other.
     """
-    existing = tables.read(name, schema)
-    if not existing.isEmpty():
-        near = key_window(existing, rows, "id").select(
-            "id", F.col("data_source").alias("_source"), F.col("patent_id").alias("_patent")
-        )
-        other = ~(
-            F.col("_source").eqNullSafe(F.col("data_source"))
-            & F.col("_patent").eqNullSafe(F.col("patent_id"))
-        )
-        clash = rows.select("id", "data_source", "patent_id").join(near, "id").where(other).count()
-        if clash:
-            raise ValueError(f"{clash} ids of {name} belong to other rows; place the ids first")
-        sources = [r[0] for r in rows.select("data_source").distinct().collect()]
-        own = existing.where(F.col("data_source").isin(sources))
-        if not own.join(ids, "id", "left_anti").isEmpty():
-            rows = own.join(ids, "id", "left_semi").unionByName(insert_ignore(rows, own, "id"))
-            tables.replace_partitions(rows.sortWithinPartitions("id"), name, "data_source")
-            return
-        rows = insert_ignore(rows, near, "id")
-    tables.append(rows.sortWithinPartitions("id"), name, "data_source")
+    def is_own(_, origin, batch) -> bool:
+        return (origin, batch) == (source, params.batch_id)
+
+    own = tables.read(target, schema, only=is_own)
+    others = tables.read(target, schema, only=lambda *part: not is_own(*part))
+    near = key_window(others, rows, "id").select(
+        "id", F.col("data_source").alias("_source"), F.col("patent_id").alias("_patent")
+    )
+    other = ~(
+        F.col("_source").eqNullSafe(F.col("data_source"))
+        & F.col("_patent").eqNullSafe(F.col("patent_id"))
+    )
+    clash = rows.select("id", "data_source", "patent_id").join(near, "id").where(other).count()
+    if clash:
+        raise ValueError(f"{clash} ids of {target} belong to other rows; place the ids first")
+    new = insert_ignore(rows, near.select("id").unionAll(own.select("id")), "id")
+    lost = not own.select("id").join(ids, "id", "left_anti").isEmpty()
+    if lost:
+        new = own.join(ids, "id", "left_semi").unionByName(new)
+    new = new.withColumns({"origin": F.lit(source), "origin_batch": F.lit(params.batch_id)})
+    version = tables.write(new.sortWithinPartitions("id"), target, ORIGIN, last=F.max("id"))
+    if lost or version.partitions:
+        tables.publish(version, gone=is_own if lost else None)
+    return {"scanned": ids.count(), **version.counts}
 
 
 # ---- ids of partitions, repairs ----
@@ -347,29 +379,19 @@ def place_behind(tables: Tables, params: Params, previous_stage: str) -> None:
 
 def _move_batch(tables: Tables, params: Params, job: str, table, low: int, offset: int) -> None:
     name, schema, key = table
-    entry = tables.read(params.run_log, schemas.RUN_LOG).where(
-        (F.col("batch_id") == params.batch_id)
-        & (F.col("job_name") == job)
-        & (F.col("target_table") == name)
-    ).first()
-
-    def enter(status: str, old_low: int, by: int) -> None:
-        counts = tables.spark.createDataFrame(
-            [(old_low, by, 0, 0)],
-            "last_key long, scanned_rows long, updated_rows long, inserted_rows long",
-        )
-        _log_run(tables, params, job, name, counts, status)
-
+    log = tables.read(params.run_log, schemas.RUN_LOG, only=lambda b: b == params.batch_id)
+    entry = log.where((F.col("job_name") == job) & (F.col("target_table") == name)).first()
     if entry is not None and entry["status"] == C.STATUS_OK:
         return
+    old_low = low
     if entry is None:
-        enter(C.STATUS_STARTED, low, offset)
+        _log_run(tables, params, job, name, last_key=low, scanned=offset, status=C.STATUS_STARTED)
     else:
-        offset = entry["scanned_rows"]
-    if entry is None or low == entry["last_key"]:
+        old_low, offset = entry["last_key"], entry["scanned_rows"]
+    if low == old_low:
         rows = _batch(tables, params, name, schema)
         _swap_batch(tables, name, rows.withColumn(key, (F.col(key) + offset).cast("bigint")))
-    enter(C.STATUS_OK, low if entry is None else entry["last_key"], offset)
+    _log_run(tables, params, job, name, last_key=old_low, scanned=offset)
 
 
 def restore_raw_names(tables: Tables, params: Params) -> None:
@@ -415,3 +437,7 @@ def run_steps(
         raise ValueError(f"unknown steps {unknown}; known: {sorted(STEPS)}")
     for name in names:
         STEPS[name](tables, dicts, params)
+    tables.remove_old(
+        (params.stage_table, params.valid_table, params.invalid_table, params.final_valid_table,
+         params.final_invalid_table, params.done_log, params.run_log)
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import functions as G, schemas
 
@@ -39,3 +39,9 @@ def split_invalid(
 ) -> DataFrame:
     """Invalid rows with their reasons; file sizes stay in bytes."""
     return _part_columns(_scope(stage, 0, batch_id, min_key))
+
+
+def is_routed() -> Column:
+    """Whether a row of Stage goes to one of the two tables."""
+    valid = (F.col("is_valid") == 1) & ~G.is_blank(F.col("patent_id"))
+    return F.coalesce(valid | (F.col("is_valid") == 0), F.lit(False))

@@ -88,6 +88,9 @@ FILE_LOG = _schema("""
 """)
 FILE_LOG_KEY = ["batch_id", "table_name", "file_name"]
 
+# Records with a number of fields other than that of the columns.
+BAD_RECORDS = _schema("batch_id table_name file_name row_num:l record")
+
 DONE_LOG = _schema("""
     table_name stage_table batch_id file_name status rows_loaded:l rows_inserted:l err_msg
     created_at:t updated_at:t
@@ -95,7 +98,7 @@ DONE_LOG = _schema("""
 DONE_LOG_KEY = ["table_name", "stage_table", "batch_id", "file_name"]
 
 RUN_LOG = _schema("""
-    job_name batch_id target_table status last_key:l scanned_rows:l updated_rows:l
+    job_name batch_id target_table status source_version last_key:l scanned_rows:l updated_rows:l
     inserted_rows:l created_at:t updated_at:t
 """)
 RUN_LOG_KEY = ["job_name", "batch_id", "target_table"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 import re
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -11,9 +12,13 @@ from .. import constants as C, schemas
 from ..operators.joins import fits_broadcast, hot_split_join
 from .scratch import scratch_folder, written
 
-# One line on which every quoted field ends: quotes count only at the start of a field.
-_FIELD = r'(?:"(?:[^"]|"")*+"|[^",][^,]*+)?'
-CLOSED_LINE = rf"^{_FIELD}(?:,{_FIELD})*+\r?$"
+# Quotes count only at the start of a field; behind its closing quote a field goes on to the next
+# comma, as Spark's reader has it.
+_FIELD = r'(?:"(?:[^"]|"")*+"[^,]*+|[^",][^,]*+)?'
+_REST = rf"(?:,{_FIELD})*+\z"
+# A line that begins outside quotes and ends outside, and one that begins inside and ends outside.
+CLOSED_LINE = rf"\A{_FIELD}{_REST}"
+CLOSING_LINE = rf'\A(?:[^"]|"")*+"[^,]*+{_REST}'
 
 
 def _decoded(name: Column) -> Column:
@@ -116,71 +121,210 @@ def tidy_csv(rows: DataFrame, null_text: bool = False, strip_return: bool = True
     ).where(~F.startswith("_source_file", F.lit("~$")))
 
 
-def splittable(spark: SparkSession, files: list[str]) -> set[str]:
-    """The files in which no record spans two lines, found by one scan over their lines.
+class Loaded(NamedTuple):
+    """``rows``: the columns of the files with ``_source_file``, ``_row_num`` and ``_record``, the text
+    of a record that has other than 30 fields (else NULL). ``bad_files``: why files cannot be loaded;
+    their rows are not in ``rows``."""
+
+    rows: DataFrame
+    bad_files: dict[str, str]
 
-    If every line closes its quotes, every line starts outside quotes, so reading such a file
-    in splits gives the same records. Anything doubtful counts as not splittable.
-    """
-    if not files:
-        return set()
-    lines = spark.read.option("lineSep", "\n").text(files)
-    open_line = (~F.col("value").rlike(CLOSED_LINE)).cast("int")
-    by_file = lines.groupBy(_decoded(F.col("_metadata.file_name")).alias("name")).agg(
-        F.max(open_line).alias("open")
-    )
-    closed = {r[0] for r in by_file.where("open = 0").select("name").toLocalIterator()}
-    return {f for f in files if re.sub(r"\\(.)", r"\1", f.rsplit("/", 1)[-1]) in closed}
 
+UNDECODABLE = "lines that are not valid in"
+UNCLOSED = "a quote is never closed"
+_PLACE = ["_source_file", "_block"]
+
+
+def read_files(
+    spark: SparkSession, sizes: dict[str, int], encoding: str = "UTF-8", **options
+) -> Loaded:
+    """Records of files, numbered from 1 in each file behind its header.
 
-def read_lines(
+    Files of UTF-8 are read in splits of any size, also where records span lines; files of other
+    encodings are read one per task. A file with undecodable characters or with a quote that is
+    still open at its end is bad as a whole.
+    """
+    paths, names = _readable(spark, list(sizes))
+    if encoding.upper().replace("-", "") == "UTF8":
+        loaded = _read_split(spark, sorted(set(paths.values())), **options)
+    else:
+        rows = with_row_numbers(read_csv(spark, sorted(set(paths.values())), encoding=encoding, **options))
+        damaged = damaged_files(rows, encoding)
+        if damaged:
+            rows = rows.where(~F.col("_source_file").isin(sorted(damaged)))
+        loaded = Loaded(rows.withColumn("_record", F.lit(None).cast("string")), damaged)
+    if not names:
+        return loaded
+    true = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    own = F.coalesce(F.element_at(true, F.col("_source_file")), F.col("_source_file"))
+    bad = {names.get(k, k): v for k, v in loaded.bad_files.items()}
+    return Loaded(loaded.rows.withColumn("_source_file", own), bad)
+
+
+def _read_split(
     spark: SparkSession, paths: list[str], *, null_text: bool = False, strip_return: bool = True
-) -> DataFrame:
-    """``read_csv`` for UTF-8 files in which no record spans lines, read in splits.
+) -> Loaded:
+    """One scan stores the lines with their places; all else is taken from there.
 
-    Blank lines stay rows, as in ``read_csv`` over whole files. The header line of each file is
-    still there, marked by ``_header`` = 1 as a column; ``with_row_numbers`` takes it out.
+    Where every line closes its quotes, a line is a record and its number follows from its place.
+    Only the lines of other files are put in order, each block by itself.
     """
-    options = {
-        k: str(v) for k, v in csv_reader_options("UTF-8", False).items()
-        if k not in ("header", "enforceSchema", "lineSep", "multiLine", "encoding")
-    }
     lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.csv").text(paths)
-    blank = F.trim("value") == ""
-    fields = F.from_csv("value", schemas.RAW.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
-    rows = lines.select(blank.alias("_blank"), "value", fields.alias("_fields"), "_metadata")
-    first = schemas.RAW_COLUMNS[0]
-    columns = [
-        F.when(F.col("_blank"), F.col("value") if c == first else F.lit("")).otherwise(F.col("_fields")[c]).alias(c)
-        for c in schemas.RAW_COLUMNS
-    ]
-    return tidy_csv(rows.select(*columns, "_metadata"), null_text, strip_return)
+    value = F.col("value")
+    quoted = F.contains(value, F.lit('"'))
+    stored = written(
+        lines.select(
+            _decoded(F.col("_metadata.file_name")).alias("_source_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_place"),
+            "value",
+            F.when(quoted, ~value.rlike(CLOSED_LINE)).otherwise(False).cast("int").alias("_from_0"),
+            (~F.is_valid_utf8(value)).alias("_undecodable"),
+        ),
+        "csv-lines",
+    )
+    blocks = written(
+        stored.groupBy(*_PLACE).agg(
+            F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_lines"),
+            F.max("_from_0").alias("_open"), F.count_if("_undecodable").alias("_bad"),
+        ),
+        "csv-blocks",
+    )
+    of_files = blocks.groupBy("_source_file").agg(F.max("_open").alias("_spans"), F.sum("_bad").alias("_bad"))
+    bad = {
+        r[0]: f"{r[1]} {UNDECODABLE} UTF-8"
+        for r in of_files.where("_bad > 0").select("_source_file", "_bad").toLocalIterator()
+    }
+    good = blocks.drop("_bad").join(of_files.where("_bad = 0").drop("_bad"), "_source_file")
+    records = _one_line_records(stored, good.where("_spans = 0"))
+    spanning = good.where("_spans = 1")
+    if not spanning.isEmpty():
+        more, unclosed = _spanning_records(stored, spanning)
+        records = records.unionByName(more)
+        bad.update({name: UNCLOSED for name in unclosed})
+    return Loaded(_parsed(records, null_text, strip_return), bad)
+
+
+def _with_blocks(lines: DataFrame, blocks: DataFrame, weight: str) -> DataFrame:
+    """Lines with the columns of their block; lines of other blocks are left out. There is a row per
+    block of a file, so the table is small; a longer one is joined with its largest blocks split off."""
+    if fits_broadcast(blocks):
+        return lines.join(F.broadcast(blocks), _PLACE)
+    found = hot_split_join(lines, blocks.withColumn("_found", F.lit(True)), _PLACE, weight, ["_place"])
+    return found.where("_found")
 
 
-def read_files(
-    spark: SparkSession, sizes: dict[str, int], encoding: str = "UTF-8", **options
-) -> DataFrame:
-    """Rows of files. Files of UTF-8 in which no record spans lines are read in splits, the others
-    one per task; the choice depends on the content, never on a size or a setting. In the latter,
-    the reader passes over lines that are wholly empty. ``_header`` is 1 where a file's first row
-    is its header."""
-    paths, names = _readable(spark, list(sizes))
-    utf8 = encoding.upper().replace("-", "") == "UTF8"
-    large = splittable(spark, sorted(paths.values())) if utf8 else set()
-    whole = sorted(set(paths.values()) - large)
-    parts = []
-    if whole:
-        rows = read_csv(spark, whole, encoding=encoding, **options)
-        parts.append(rows.withColumn("_header", F.lit(0)))
-    if large:
-        rows = read_lines(spark, sorted(large), **options)
-        parts.append(rows.withColumn("_header", F.lit(1)))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    if names:
-        true = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
-        own = F.coalesce(F.element_at(true, F.col("_source_file")), F.col("_source_file"))
-        rows = rows.withColumn("_source_file", own)
-    return rows
+def _one_line_records(stored: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``(_source_file, _number, value)``; no line is moved."""
+    in_file = Window.partitionBy("_source_file").orderBy("_block")
+    blocks = blocks.select(*_PLACE, "_first", "_lines", (F.sum("_lines").over(in_file) - F.col("_lines")).alias("_before"))
+    rows = _with_blocks(stored.select(*_PLACE, "_place", "value"), blocks, "_lines")
+    number = F.col("_before") + F.col("_place") - F.col("_first") + 1
+    return rows.select("_source_file", number.alias("_number"), "value")
+
+
+def _chained(rows: DataFrame, groups: list[str], order: str) -> DataFrame:
+    """Whether a row begins inside quotes, from what each row makes of both cases.
+
+    ``_from_0`` and ``_from_1`` are the states behind a row that begins outside (0) and inside (1). Rows
+    with one result whatever the beginning fix the state; behind the last of them, or behind the
+    beginning of the group, only rows that turn the state round count. ``_fixed`` is the state behind the
+    last fixing row before this one, NULL if there is none, ``_turns`` the turns since.
+    """
+    up_to = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    turn = (F.col("_from_0") > F.col("_from_1")).cast("int")
+    rows = rows.withColumn("_all_turns", F.sum(turn).over(up_to))
+    fixing = F.when(F.col("_from_0") == F.col("_from_1"), F.struct(F.col("_from_0").alias("state"), F.col("_all_turns").alias("turns")))
+    rows = rows.withColumn("_last", F.last(fixing, ignorenulls=True).over(before))
+    turns = F.col("_all_turns") - turn - F.coalesce(F.col("_last.turns"), F.lit(0))
+    return rows.select(
+        *[c for c in rows.columns if c not in ("_all_turns", "_last")],
+        F.col("_last.state").alias("_fixed"), turns.alias("_turns"),
+    )
+
+
+def _state(begin) -> Column:
+    """The state before a row of ``_chained`` whose group begins in a state."""
+    return ((F.coalesce("_fixed", F.lit(begin)) + F.col("_turns")) % 2).cast("int")
+
+
+def _behind(state: Column) -> Column:
+    return F.when(state == 0, F.col("_from_0")).otherwise(F.col("_from_1"))
+
+
+def _spanning_records(stored: DataFrame, blocks: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``(_source_file, _number, value)`` of files with records over several lines, and the names of
+    files whose last quote is never closed.
+
+    Each block finds, for both cases of its beginning, the states and the number of records; prefix
+    sums over the blocks of a file, one row each, say which case it is and how many records are
+    before. Only the lines of records over several lines are then put together.
+    """
+    lines = _with_blocks(stored.select(*_PLACE, "_place", "value", "_from_0"), blocks.select(*_PLACE, "_lines"), "_lines")
+    quoted = F.contains("value", F.lit('"'))
+    from_1 = F.when(quoted, ~F.col("value").rlike(CLOSING_LINE)).otherwise(True).cast("int")
+    lines = _chained(lines.drop("_lines").withColumn("_from_1", from_1), _PLACE, "_place")
+    in_block = Window.partitionBy(*_PLACE).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumns({f"_in_{b}": _state(b) for b in (0, 1)})
+    lines = lines.withColumns({f"_records_{b}": F.sum(1 - F.col(f"_in_{b}")).over(in_block) for b in (0, 1)})
+    lines = written(lines.drop("_fixed", "_turns"), "csv-states")
+    last = lines.groupBy(*_PLACE).agg(
+        F.count(F.lit(1)).alias("_lines"),
+        *[F.max_by(_behind(F.col(f"_in_{b}")), "_place").alias(f"_from_{b}") for b in (0, 1)],
+        *[F.max(f"_records_{b}").alias(f"_records_{b}") for b in (0, 1)],
+    )
+    # A file begins outside quotes.
+    chain = _chained(last, ["_source_file"], "_block").withColumn("_begin", _state(0))
+    count = F.when(F.col("_begin") == 0, F.col("_records_0")).otherwise(F.col("_records_1"))
+    in_file = Window.partitionBy("_source_file").orderBy("_block")
+    chain = chain.select(
+        *_PLACE, "_lines", "_begin", (F.sum(count).over(in_file) - count).alias("_before"),
+        _behind(F.col("_begin")).alias("_end"),
+    )
+    chain = written(chain, "csv-chain")
+    ends = chain.groupBy("_source_file").agg(F.max_by("_end", "_block").alias("_end"))
+    unclosed = [r[0] for r in ends.where("_end = 1").select("_source_file").toLocalIterator()]
+    closed = chain.drop("_end").join(ends.where("_end = 0").select("_source_file"), "_source_file")
+    rows = _with_blocks(lines, closed, "_lines")
+
+    def by_case(stem: str) -> Column:
+        return F.when(F.col("_begin") == 0, F.col(f"{stem}_0")).otherwise(F.col(f"{stem}_1"))
+
+    rows = rows.select(
+        *_PLACE, "_place", "value", by_case("_in").alias("_start"), _behind(by_case("_in")).alias("_end"),
+        (F.col("_before") + by_case("_records")).alias("_number"),
+    )
+    alone = (F.col("_start") == 0) & (F.col("_end") == 0)
+    parts = rows.where(~alone).groupBy("_source_file", "_number").agg(
+        F.array_sort(F.collect_list(F.struct("_block", "_place", "value"))).alias("parts")
+    )
+    joined = F.array_join(F.transform("parts", lambda x: x["value"]), "\n")
+    columns = ["_source_file", "_number", "value"]
+    return rows.where(alone).select(*columns).unionByName(
+        parts.select("_source_file", "_number", joined.alias("value"))
+    ), unclosed
+
+
+def _parsed(records: DataFrame, null_text: bool, strip_return: bool) -> DataFrame:
+    """Fields of records behind the header. A blank line is a row with empty fields."""
+    if strip_return:
+        records = records.withColumn("value", F.regexp_replace("value", "\r\\z", ""))
+    options = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    schema = ", ".join(f"`{c}` string" for c in (*schemas.RAW_COLUMNS, "_corrupt"))
+    rows = records.where("_number > 1").select(
+        "_source_file", (F.col("_number") - 1).cast("bigint").alias("_row_num"), "value",
+        (F.trim("value") == "").alias("_blank"), F.from_csv("value", schema, options).alias("_fields"),
+    )
+    columns = {}
+    for c in schemas.RAW_COLUMNS:
+        blank = F.col("value") if c == schemas.RAW_COLUMNS[0] else F.lit("")
+        field = F.when(F.col("_blank"), blank).otherwise(F.coalesce(F.col("_fields")[c], F.lit("")))
+        columns[c] = F.nullif(field, F.lit("NULL")) if null_text else field
+    record = F.when(~F.col("_blank"), F.col("_fields")["_corrupt"])
+    return rows.select(
+        *[v.alias(c) for c, v in columns.items()], "_source_file", "_row_num", record.alias("_record")
+    )
 
 
 def with_row_numbers(rows: DataFrame) -> DataFrame:
@@ -204,17 +348,15 @@ def with_row_numbers(rows: DataFrame) -> DataFrame:
     else:
         joined = hot_split_join(stored, blocks, keys, "_rows", ["_place"])
     number = F.col("_before") + F.col("_place") - F.col("_first") + 1
-    kept = [c for c in rows.columns if c not in ("_block", "_header")]
-    if "_header" not in rows.columns:
-        return joined.select(*kept, number.cast("bigint").alias("_row_num"))
-    number = (number - F.col("_header")).cast("bigint").alias("_row_num")
-    return joined.select(*kept, number).where("_row_num > 0")
+    kept = [c for c in rows.columns if c != "_block"]
+    return joined.select(*kept, number.cast("bigint").alias("_row_num"))
 
 
-def damaged_files(rows: DataFrame) -> DataFrame:
-    """Files with characters that the encoding could not read."""
-    bad = F.contains(F.concat_ws("", *schemas.RAW_COLUMNS), F.lit("�"))
-    return rows.where(bad).select("_source_file").distinct()
+def damaged_files(rows: DataFrame, encoding: str) -> dict[str, str]:
+    """Files with rows that have characters the encoding could not read."""
+    bad = F.contains(F.concat_ws("", *schemas.RAW_COLUMNS), F.lit("\ufffd"))
+    found = rows.where(bad).groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"))
+    return {r[0]: f"{r[1]} {UNDECODABLE} {encoding}" for r in found.toLocalIterator()}
 
 
 def write_csv(
@@ -239,7 +381,7 @@ def write_failed_list(file_log: DataFrame, path: str) -> bool:
     failed = file_log.where(F.col("status") == C.STATUS_FAILED)
     if failed.isEmpty():
         return False
-    failed.select(F.concat_ws("\t", "file_path", "error_message")).coalesce(1).write.text(path)
+    failed.select(F.concat_ws("\t", "file_path", "error_message")).coalesce(1).write.mode("overwrite").text(path)
     return True
 
 

@@ -84,16 +84,14 @@ def test_large_files_are_split_where_exact(spark, tmp_path):
     put(folder, "multi.csv", *[line(f"Q{i:04}", title='"x\ny"') for i in range(300)])
     files = csv_files.list_files(spark, folder).collect()
     sizes = {f.file_path: f.file_size for f in files}
-    assert {p.rsplit("/", 1)[1] for p in csv_files.splittable(spark, list(sizes))} == {"plain.csv"}
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096b")
     try:
-        rows = csv_files.read_files(spark, sizes)
-        blocks = rows.select("_source_file", "_block").distinct().groupBy("_source_file").count()
-        assert dict(map(tuple, blocks.collect()))["plain.csv"] > 3
-        numbered = csv_files.with_row_numbers(rows).collect()
+        rows, bad = csv_files.read_files(spark, sizes)
+        numbered = rows.collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert bad == {} and {r.title for r in numbered} == {"x, y", "x\ny"}
     assert len(numbered) == 600
     assert all(int(r.id[1:]) + 1 == r._row_num for r in numbered)
 
@@ -126,7 +124,7 @@ def test_odd_names_and_blank_lines_at_any_split_size(spark, tables, params, tmp_
 
 @pytest.mark.parametrize("text,closed", [
     ("a,b,c", True), ('"a","b ""q"" c",d', True), ("", True), (',,"x"\r', True),
-    ('a,"open', False), ('a,"x""', False), ('5" pipe,b', True), ('"a"b,c', False), ("a,", True),
+    ('a,"open', False), ('a,"x""', False), ('5" pipe,b', True), ('"a"b,c', True), ("a,", True),
 ])
 def test_closed_lines(spark, text, closed):
     row = spark.createDataFrame([(text,)], "v string")
@@ -236,6 +234,82 @@ def test_second_encoding(spark, tables, params, tmp_path):
     assert ids_of(ods, "id", "title") == [("P1", "专利"), ("P2", "café")]
 
 
+SPANS = [
+    line("P1", title='"two\n\nlines, and ""quotes"""'), "", line("P2", title='5" pipe'), line("P3", tail='"a\nb"'),
+    line('"P\n4"', title='"x"y'), line("P5", title='"' + "\n".join(map(str, range(40))) + '"', path='"a ""\n"" b"'),
+    "  ", line("P6", title='"a" b,"'.rstrip(',"')), "only,three,fields", line("P7") + ",more", line("P8"),
+]
+
+
+@pytest.mark.parametrize("size", ["128m", "64b"])
+def test_records_over_lines_at_any_split_size(spark, tables, params, tmp_path, size):
+    folder = str(tmp_path / "csv")
+    put(folder, "spans.csv", *SPANS)
+    put(folder, "plain.csv", *[x for x in SPANS if "\n" not in x], end="\r\n")
+    put(folder, "[s].csv", *SPANS[:3])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        ingest(tables, params, folder, "full")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    rows = tables.read(params.ods_table, schemas.ODS)
+    found = {(r._source_file, r._row_num): r for r in rows.collect()}
+    ids = ["P1", "", "P2", "P3", "P\n4", "P5", "  ", "P6", "only", "P7", "P8"]
+    assert [found["spans.csv", n + 1].id for n in range(11)] == ids
+    assert [found["plain.csv", n + 1].id for n in range(7)] == ["", "P2", "  ", "P6", "only", "P7", "P8"]
+    assert [found["[s].csv", n + 1].id for n in range(3)] == ids[:3] and len(found) == 21
+    first = found["spans.csv", 1]
+    assert first.title == 'two\n\nlines, and "quotes"' and first.pdf_url == ""
+    assert found["spans.csv", 3].title == '5" pipe' and found["spans.csv", 4].pdf_url == "a\nb"
+    assert found["spans.csv", 5].title == '"x"y' and found["spans.csv", 6].title.endswith("38\n39")
+    assert found["spans.csv", 6].mainclassname == 'a "\n" b' and found["spans.csv", 9].publish_file == ""
+    log = tables.read(params.file_log, schemas.FILE_LOG).collect()
+    assert {r.file_name: (r.status, r.rows_loaded, r.error_message) for r in log} == {
+        "spans.csv": ("SUCCESS", 11, "2 records have other than 30 fields"),
+        "plain.csv": ("SUCCESS", 7, "2 records have other than 30 fields"), "[s].csv": ("SUCCESS", 3, None),
+    }
+    odd = tables.read(params.bad_records, schemas.BAD_RECORDS)
+    assert ids_of(odd, "file_name", "row_num", "record") == [
+        ("plain.csv", 5, SPANS[8]), ("plain.csv", 6, SPANS[9]), ("spans.csv", 9, SPANS[8]), ("spans.csv", 10, SPANS[9])
+    ]
+
+
+def test_bad_files_fail_and_are_listed(spark, tables, params, tmp_path):
+    folder = str(tmp_path / "csv")
+    put(folder, "good.csv", line("P1"), "a,b")
+    put(folder, "open.csv", line("P2"), line("P3", title='"open'), line("P4"))
+    put(folder, "short.csv", "a,b", "c,d,e")
+    with open(f"{folder}/gbk.csv", "wb") as f:
+        f.write(f"{HEADER}\n{line('P5', title='专利')}\n{line('P6')}\n".encode("gbk"))
+    ingest(tables, params, folder, "full")
+    log = {r.file_name: r for r in tables.read(params.file_log, schemas.FILE_LOG).collect()}
+    assert {k: (r.status, r.rows_loaded, r.error_message) for k, r in log.items()} == {
+        "good.csv": ("SUCCESS", 2, "1 records have other than 30 fields"),
+        "open.csv": ("FAILED", None, "a quote is never closed"),
+        "gbk.csv": ("FAILED", None, "2 lines that are not valid in UTF-8"),
+        "short.csv": ("SUCCESS", 2, "2 records have other than 30 fields"),
+    }
+    listed = spark.read.text(f"{tables.path('failed_files')}/{params.batch_id}").collect()
+    assert sorted(r.value.split("\t")[1] for r in listed) == sorted(
+        r.error_message for r in log.values() if r.status == "FAILED"
+    )
+    ods = tables.read(params.ods_table, schemas.ODS)
+    assert {i for i, in ids_of(ods, "id")} == {"P1", "a", "c"}
+    # Mended files land with the next run, and their odd records give way.
+    put(folder, "open.csv", line("P2"), line("P3", title='"closed"'), line("P4"))
+    put(folder, "short.csv", line("P9"), "x,y")
+    ingest(tables, later(params), folder, "resume")
+    ods = tables.read(params.ods_table, schemas.ODS)
+    assert ids_of(ods, "_source_file", "id") == [
+        ("good.csv", "P1"), ("good.csv", "a"), ("open.csv", "P2"), ("open.csv", "P3"), ("open.csv", "P4"),
+        ("short.csv", "P9"), ("short.csv", "x"),
+    ]
+    odd = tables.read(params.bad_records, schemas.BAD_RECORDS)
+    assert ids_of(odd, "file_name", "row_num", "record") == [("good.csv", 2, "a,b"), ("short.csv", 2, "x,y")]
+    assert log_of(tables, params)["gbk.csv"] == ("FAILED", None)
+
+
 # ---- steps ----
 
 
