@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C
+from ..functions import is_blank
 
 
 def key_range(df: DataFrame, key: str, by: list[str] | None = None, empty: int | None = None):
@@ -51,6 +52,18 @@ def conservation(stage: DataFrame, valid: DataFrame, invalid: DataFrame) -> Data
     return counted.withColumn("missing_rows", missing)
 
 
+def routed(stage: DataFrame) -> DataFrame:
+    """What ``conservation`` gives for both branches of Stage, from one scan of Stage."""
+    valid = (F.col("is_valid") == 1) & ~is_blank(F.col("patent_id"))
+    counted = stage.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("stage_rows"),
+        F.count_if(valid).alias("valid_rows"),
+        F.count_if(F.col("is_valid") == 0).alias("invalid_rows"),
+    )
+    missing = F.col("stage_rows") - F.col("valid_rows") - F.col("invalid_rows")
+    return counted.withColumn("missing_rows", missing)
+
+
 def run_totals(log: DataFrame) -> DataFrame:
     """Files and rows of all runs in a file log, per batch."""
     return log.groupBy("batch_id").agg(

@@ -25,7 +25,20 @@ def repeated_keys(
     scope: list[str] | None = None,
     include_blank: bool = False,
 ) -> DataFrame:
-    """Keys that valid rows hold more than once: ``scope``, ``_key``, lowest ``order``, count.
+    """Keys that valid rows hold more than once: ``scope``, ``_key``, lowest ``order``, count."""
+    found = key_counts(stage, key=key, order=order, scope=scope, include_blank=include_blank)
+    return found.where("cnt > 1")
+
+
+def key_counts(
+    stage: DataFrame,
+    *,
+    key: str = "patent_id",
+    order: str = "stage_id",
+    scope: list[str] | None = None,
+    include_blank: bool = False,
+) -> DataFrame:
+    """All keys of valid rows: ``scope``, ``_key``, lowest ``order``, count.
 
     A plain aggregate: Spark merges repeats before the shuffle, so a hot key is no hot spot, and
     blank keys are left out before any hashing.
@@ -38,10 +51,24 @@ def repeated_keys(
     return (
         candidates.groupBy(*scope, fold_key(F.col(key)).alias("_key"))
         .agg(F.min(order).alias("keep_id"), F.count(F.lit(1)).alias("cnt"))
-        .where("cnt > 1")
     )
 
 
+def plain_key(keys: DataFrame) -> DataFrame:
+    """Keys as they can be stored; one spelling stands for all of a key."""
+    return keys.withColumn("_key", F.collate("_key", "UTF8_BINARY"))
+
+
+def keys_to_flag(keys: DataFrame, earlier: DataFrame, scope: list[str]) -> DataFrame:
+    """Stored keys of new rows that are repeated, among themselves or with ``earlier`` rows, with the
+    lowest id of all. Only keys are joined, not rows; earlier loads may each hold a key."""
+    folded = fold_key(F.col("_key"))
+    first = earlier.groupBy(*scope, folded.alias("_fold")).agg(F.min("keep_id").alias("_before"))
+    found = keys.withColumn("_fold", folded).join(first, [*scope, "_fold"], "left")
+    found = found.where(F.col("_before").isNotNull() | (F.col("cnt") > 1))
+    return found.select(*scope, "_key", F.least("keep_id", "_before").alias("keep_id"), "cnt")
+
+
 def flag_duplicates(
     stage: DataFrame,
     *,
@@ -52,6 +79,7 @@ def flag_duplicates(
     include_blank: bool = False,
     run_ts: datetime | None = None,
     small: bool | None = None,
+    keep: DataFrame | None = None,
     **split,
 ) -> DataFrame:
     """Among valid rows of a batch with the same key keep the lowest id; mark the others.
@@ -61,12 +89,14 @@ def flag_duplicates(
 
     The repeated keys are found first, from the key columns alone, and written, so that their
     size is known. If they are few, as in most batches, they are broadcast and the wide rows are
-    not shuffled at all. Otherwise the join splits off hot keys.
+    not shuffled at all. Otherwise the join splits off hot keys. ``keep`` gives these keys, where they
+    are known (``keys_to_flag``).
     """
     scope = ["batch_id"] if scope is None else scope
-    found = repeated_keys(stage, key=key, order=order, scope=scope, include_blank=include_blank)
-    plain = F.collate("_key", "UTF8_BINARY")
-    keep = written(found.withColumn("_key", plain), "repeated-keys")
+    if keep is None:
+        keep = repeated_keys(stage, key=key, order=order, scope=scope, include_blank=include_blank)
+        keep = plain_key(keep)
+    keep = written(keep, "repeated-keys")
     has_key = F.col(key).isNotNull() if include_blank else ~is_blank(F.col(key))
     keyed = stage.withColumn(
         "_key", F.when((F.col("is_valid") == 1) & has_key, fold_key(F.col(key)))

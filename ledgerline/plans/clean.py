@@ -64,13 +64,16 @@ def _touch(rows: DataFrame, new: dict[str, Column], run_ts: datetime) -> DataFra
     return rows.withColumns({**new, "updated_date": moved})
 
 
-def clean(stage: DataFrame, dicts: Dictionaries, params: Params) -> DataFrame:
-    """All rules named in ``params.rules``; ``updated_date`` moves on changed rows only."""
+def clean(
+    stage: DataFrame, dicts: Dictionaries, params: Params, keep: DataFrame | None = None
+) -> DataFrame:
+    """All rules named in ``params.rules``; ``updated_date`` moves on changed rows only. ``keep``: the
+    repeated ids, where they are known."""
     rows = stage
     if "path" in params.rules:
         rows = clean_paths(rows, params.min_key, run_ts=params.run_ts)
     if "dedup" in params.rules:
-        rows = flag_duplicates(rows, reason=params.duplicate_reason, run_ts=params.run_ts)
+        rows = flag_duplicates(rows, reason=params.duplicate_reason, run_ts=params.run_ts, keep=keep)
     if "region" in params.rules:
         rows = fix_region(rows, dicts, params.run_ts)
     return rows

@@ -123,19 +123,18 @@ def _store(tables: Tables, params: Params, loaded, replace_rows: bool) -> DataFr
     names = [(params.batch_id, f.file_name) for _, _, files in loaded for f in files]
     files = tables.spark.createDataFrame(names, "batch_id string, _source_file string")
     new = tables.write(rows.select(*schemas.ODS.fieldNames(), "_record"), params.ods_table, "batch_id", odd=F.count("_record"))
-    left = None
-    if replace_rows:
-        old = tables.read(params.ods_table, schemas.ODS, only=lambda b: b == params.batch_id)
-        present = old.select("batch_id", "_source_file").distinct()
-        if not present.join(files, ["batch_id", "_source_file"], "left_semi").isEmpty():
-            left = tables.write(delete_files(old, files), params.ods_table, "batch_id")
+    is_batch = lambda b: b == params.batch_id
+    touched = tables.versions_with(params.ods_table, schemas.ODS, files, is_batch) if replace_rows else []
     schema = schemas.T.StructType([*schemas.ODS.fields, schemas.T.StructField("_record", schemas.T.StringType())])
     stored = tables.rows_of(new, schema)
     _quarantine(tables, params, stored if new.counts.get("odd") else None, files)
-    if left is None:
-        tables.publish(new)
+    if touched:
+        # Only what holds rows of these files is written again.
+        old = tables.read(params.ods_table, schemas.ODS, is_batch, touched)
+        left = tables.write(delete_files(old, files), params.ods_table, "batch_id")
+        tables.publish(left, new, old=touched)
     else:
-        tables.publish(left, new, gone=lambda b: b == params.batch_id)
+        tables.publish(new)
     return stored
 
 

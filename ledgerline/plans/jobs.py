@@ -4,13 +4,13 @@ step that is run again continues or changes nothing."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C, schemas
 from ..operators import audit
-from ..operators.dedup import keep_first
+from ..operators.dedup import keep_first, key_counts, keys_to_flag, plain_key
 from ..operators.ids import assign_ids, max_key, number_rows
 from ..operators.joins import fits_broadcast, matching
 from ..operators.upsert import delete_files, insert_ignore, key_window
@@ -60,7 +60,7 @@ def _stage_files(tables: Tables, dicts: Dictionaries, params: Params, files: lis
     batches = sorted({f.batch_id for f in files})
     ods = tables.read(params.ods_table, schemas.ODS, only=lambda b: b in batches)
     ods = matching(ods, keys, small=fits_broadcast(keys))
-    left = _without_files(tables, params, keys, batches) if params.delete_before_insert else None
+    left = _without_files(tables, params, keys, batches) if params.delete_before_insert else ([], [])
     start = max(
         [max_key(tables.read(t, schemas.STAGE), "stage_id")
          for t in (params.stage_table, *params.start_after)]
@@ -69,11 +69,8 @@ def _stage_files(tables: Tables, dicts: Dictionaries, params: Params, files: lis
     stage = stage_with_ids(ods, dicts, params, start)
     new = tables.write(stage.select(*schemas.STAGE.fieldNames()), params.stage_table, "batch_id")
     # Old rows of these files go and the new ones come in one step.
-    if left is None:
-        tables.publish(new)
-    else:
-        kept, touched = left
-        tables.publish(kept, new, gone=lambda b: b in touched)
+    kept, touched = left
+    tables.publish(*kept, new, old=touched)
     counted = audit.rows_per_file(tables.rows_of(new, schemas.STAGE), work.drop("rows_inserted"))
     _log_done(tables, params, counted, C.STATUS_OK)
 
@@ -106,15 +103,16 @@ def stage_with_ids(
 
 def _without_files(tables: Tables, params: Params, keys: DataFrame, batches: list[str]):
     """Stage without the rows that it has of these files, left by a run that broke off or by files
-    that were replaced: the version with the rows that stay, and the batches that it stands for."""
-    old = tables.read(params.stage_table, schemas.STAGE, only=lambda b: b in batches)
-    lineage = old.select("batch_id", "_source_file").distinct()
-    found = lineage.join(keys, ["batch_id", "_source_file"], "left_semi")
-    touched = {r[0] for r in found.select("batch_id").distinct().collect()}
+    that were replaced: new versions with the rows that stay, and the old ones they stand for. Versions
+    without a row of these files are not written again."""
+    def in_batches(batch) -> bool:
+        return batch in batches
+
+    touched = tables.versions_with(params.stage_table, schemas.STAGE, keys, in_batches)
     if not touched:
-        return None
-    old = tables.read(params.stage_table, schemas.STAGE, only=lambda b: b in touched)
-    return tables.write(delete_files(old, keys), params.stage_table, "batch_id"), touched
+        return [], []
+    old = tables.read(params.stage_table, schemas.STAGE, in_batches, touched)
+    return [tables.write(delete_files(old, keys), params.stage_table, "batch_id")], touched
 
 
 def _log_done(tables: Tables, params: Params, files: DataFrame, status: str) -> None:
@@ -149,15 +147,33 @@ def _jobs(params: Params) -> tuple[str, str, str]:
     return tuple(f"{stem}_{params.table_id}_v1" for stem in stems)
 
 
-def finished(tables: Tables, params: Params, job: str, target: str, version: str) -> bool:
-    """Whether the job was done over the batch as its table has it now; no row is read."""
+@dataclass(frozen=True)
+class Work:
+    """What a job still has to do for a batch: ``versions`` of its source are read, all of them
+    (``whole``) or only those that came in since it was done. ``now`` is what the log gets."""
+
+    versions: tuple[str, ...]
+    whole: bool
+    now: str
+
+
+def open_versions(
+    tables: Tables, params: Params, job: str, target: str, source: str, again: bool = False
+) -> Work | None:
+    """None if the job was done over the batch as its table has it now. No row is read for that."""
     log = tables.read(params.run_log, schemas.RUN_LOG, only=lambda b: b == params.batch_id).where(
         (F.col("job_name") == job)
         & (F.col("target_table") == target)
         & (F.col("status") == C.STATUS_OK)
-        & (F.col("source_version") == version)
     )
-    return not log.isEmpty()
+    entry = None if again else log.first()
+    done = entry["source_version"].split(",") if entry and entry["source_version"] else []
+    now = tables.versions(source, params.batch_id)
+    if now == done:
+        return None
+    whole = not done or not set(done) <= set(now)
+    versions = now if whole else [v for v in now if v not in done]
+    return Work(tuple(versions), whole, ",".join(now))
 
 
 def _log_run(
@@ -182,22 +198,36 @@ def _batch(tables: Tables, params: Params, name: str, schema) -> DataFrame:
 def clean_stage(
     tables: Tables, dicts: Dictionaries, params: Params, again: bool = False
 ) -> None:
-    """Apply the rules to one batch and swap its partition.
+    """Apply the rules to what has come into a batch since it was last cleaned.
 
-    A batch that is finished and has not changed since is skipped. Rows that came in later are
-    cleaned together with the old ones: the rules change cleaned rows no further, and a repeated
-    id stays with its lowest row, which is the older one.
+    Earlier rows are not read again: of their ids, the stored keys say which are there already, and a
+    repeated id stays with its lowest row, which is the older one. Only if rows of the batch were
+    replaced or taken out, the whole batch is cleaned; the rules change cleaned rows no further.
     """
     job, name = _jobs(params)[0], params.stage_table
-    version = tables.version(name, params.batch_id)
-    if not version or not again and finished(tables, params, job, name, version):
+    work = open_versions(tables, params, job, name, name, again)
+    if work is None:
         return
-    rows = rules.clean(_batch(tables, params, name, schemas.STAGE), dicts, params)
+
+    def is_batch(batch) -> bool:
+        return batch == params.batch_id
+
+    rows = tables.read(name, schemas.STAGE, is_batch, work.versions)
+    keys, keep, keys_table = None, None, f"{name}_keys"
+    if "dedup" in params.rules:
+        counted = plain_key(key_counts(rows)).select(*schemas.STAGE_KEYS.fieldNames())
+        keys = tables.write(counted, keys_table, "batch_id")
+        earlier = tables.read(keys_table, schemas.STAGE_KEYS, is_batch, [] if work.whole else None)
+        keep = keys_to_flag(tables.rows_of(keys, schemas.STAGE_KEYS), earlier, ["batch_id"])
     moved = F.count_if(F.col("updated_date") == F.lit(params.run_ts))
-    counts = tables.replace_partitions(rows, name, "batch_id", last=F.max("stage_id"), moved=moved)
+    rows = rules.clean(rows, dicts, params, keep)
+    new = tables.write(rows, name, "batch_id", last=F.max("stage_id"), moved=moved)
+    tables.publish(new, old=work.versions)
+    if keys is not None:
+        tables.publish(keys, gone=is_batch if work.whole else None)
     _log_run(
-        tables, params, job, name, tables.version(name, params.batch_id),
-        last_key=counts.get("last"), scanned=counts["rows"], updated=counts.get("moved", 0),
+        tables, params, job, name, ",".join(tables.versions(name, params.batch_id)),
+        last_key=new.counts.get("last"), scanned=new.counts["rows"], updated=new.counts.get("moved", 0),
     )
 
 
@@ -212,46 +242,52 @@ def split_stage(tables: Tables, params: Params, again: bool = False) -> None:
     Stage has lost them; only rows of other ids are added. Every row of Stage has to go to one of the
     two: if not, an ``AuditError`` is raised, the run is logged as FAILED, and both targets stay.
     """
-    version = tables.version(params.stage_table, params.batch_id)
+    _, valid_job, invalid_job = _jobs(params)
     branches = [
-        (job, target, plan)
+        (job, target, plan, open_versions(tables, params, job, target, params.stage_table, again))
         for job, target, plan in (
-            (_jobs(params)[1], params.valid_table, split.split_valid),
-            (_jobs(params)[2], params.invalid_table, split.split_invalid),
+            (valid_job, params.valid_table, split.split_valid),
+            (invalid_job, params.invalid_table, split.split_invalid),
         )
-        if again or not finished(tables, params, job, target, version)
     ]
+    branches = [b for b in branches if b[-1] is not None]
     if not branches:
         return
-    stage = _batch(tables, params, params.stage_table, schemas.STAGE)
-    ids = stage.select(F.col("stage_id").alias("id"))
-    _all_routed(tables, params, stage, branches, version)
-    for job, target, plan in branches:
+
+    def is_batch(batch) -> bool:
+        return batch == params.batch_id
+
+    _all_routed(tables, params, branches)
+    for job, target, plan, work in branches:
+        stage = tables.read(params.stage_table, schemas.STAGE, is_batch, work.versions)
         rows = plan(stage, params.batch_id, params.min_key)
         existing = _batch(tables, params, target, schemas.PART)
         lost = False
         if not existing.isEmpty():
-            rows = rows.join(existing.select("id"), "id", "left_anti")
-            lost = not existing.select("id").join(ids, "id", "left_anti").isEmpty()
+            rows = insert_ignore(rows, existing, "id")
+            ids = stage.select(F.col("stage_id").alias("id"))
+            lost = work.whole and not existing.select("id").join(ids, "id", "left_anti").isEmpty()
         if lost:
             rows = existing.join(ids, "id", "left_semi").unionByName(rows)
         new = tables.write(rows.sortWithinPartitions("id"), target, "batch_id", last=F.max("id"))
-        tables.publish(new, gone=(lambda b: b == params.batch_id) if lost else None)
+        tables.publish(new, gone=is_batch if lost else None)
         _log_run(
-            tables, params, job, target, version,
+            tables, params, job, target, work.now,
             last_key=new.counts.get("last"), inserted=new.counts["rows"],
         )
 
 
-def _all_routed(tables: Tables, params: Params, stage: DataFrame, branches, version: str) -> None:
-    """One scan of a few columns of the batch: rows of Stage against rows of both branches."""
+def _all_routed(tables: Tables, params: Params, branches) -> None:
+    """One scan of a few columns: rows of Stage against rows of both branches."""
+    versions = {v for *_, work in branches for v in work.versions}
+    stage = tables.read(params.stage_table, schemas.STAGE, lambda b: b == params.batch_id, versions)
     above = F.lit(True) if params.min_key is None else F.col("stage_id") > params.min_key
     counts = stage.where(above).agg(F.count(F.lit(1)), F.count_if(split.is_routed()))
     rows, routed = counts.first()
     if rows == routed:
         return
-    for job, target, _ in branches:
-        _log_run(tables, params, job, target, version, scanned=rows, inserted=routed, status=C.STATUS_FAILED)
+    for job, target, _, work in branches:
+        _log_run(tables, params, job, target, work.now, scanned=rows, inserted=routed, status=C.STATUS_FAILED)
     raise AuditError(f"{rows - routed} of {rows} rows of {params.stage_table} go to neither table")
 
 
@@ -281,32 +317,32 @@ def finalize_invalid(tables: Tables, params: Params) -> None:
 
 def _take_failed_checks(tables: Tables, params: Params) -> None:
     job, target = f"failed_checks_{params.table_id}_v1", params.invalid_table
-    version = tables.version(params.valid_table, params.batch_id)
-    if finished(tables, params, job, target, version):
+    work = open_versions(tables, params, job, target, params.valid_table)
+    if work is None:
         return
-    valid = _batch(tables, params, params.valid_table, schemas.PART)
+    valid = tables.read(params.valid_table, schemas.PART, lambda b: b == params.batch_id, work.versions)
     invalid = _batch(tables, params, target, schemas.PART)
     late = finalize.failed_checks(valid, invalid, params).sortWithinPartitions("id")
     new = tables.write(late, target, "batch_id", last=F.max("id"))
     if new.partitions:
         tables.publish(new)
-    _log_run(tables, params, job, target, version, last_key=new.counts.get("last"), inserted=new.counts["rows"])
+    _log_run(tables, params, job, target, work.now, last_key=new.counts.get("last"), inserted=new.counts["rows"])
 
 
 def _finalize(tables: Tables, params: Params, source: str, target: str, schema, plan) -> None:
-    """Bring every batch of a partition table that has changed since to the final table."""
+    """Bring what has come into a partition table since to the final table, batch by batch."""
     job = f"finalize_{source}_v1"
-    for (batch,) in tables.partitions(source):
+    batches = {b for (b,) in tables.partitions(source)}
+    batches |= {b for _, origin, b in tables.partitions(target) if origin == source}
+    for batch in sorted(batches, key=str):
         own = replace(params, batch_id=batch)
-        version = tables.version(source, batch)
-        if finished(tables, own, job, target, version):
+        work = open_versions(tables, own, job, target, source)
+        if work is None:
             continue
-        rows = _one_per_id(_batch(tables, own, source, schemas.PART))
-        counts = _add_batch(tables, own, source, plan(rows, own), rows.select("id"), target, schema)
-        _log_run(
-            tables, own, job, target, version,
-            last_key=counts.get("last"), scanned=counts["scanned"], inserted=counts["rows"],
-        )
+        part = tables.read(source, schemas.PART, lambda b: b == batch, work.versions)  # noqa: B023
+        rows = plan(_one_per_id(part), own)
+        counts = _add_batch(tables, own, source, rows, part.select("id"), work.whole, target, schema)
+        _log_run(tables, own, job, target, work.now, last_key=counts.get("last"), inserted=counts["rows"])
 
 
 def _one_per_id(rows: DataFrame) -> DataFrame:
@@ -317,12 +353,13 @@ def _one_per_id(rows: DataFrame) -> DataFrame:
 
 
 def _add_batch(
-    tables: Tables, params: Params, source: str, rows: DataFrame, ids: DataFrame, target: str, schema
+    tables: Tables, params: Params, source: str, rows: DataFrame, ids: DataFrame, whole: bool,
+    target: str, schema,
 ) -> dict:
     """Add the rows of one batch whose ids are new.
 
     What the final table has of this batch stays as it is, but for rows whose ids are no longer in the
-    partition table (``ids``): their file was replaced. Rows of other batches and partition tables are
+    partition table (``ids``, if that is ``whole``): their file was replaced. Rows of other batches and partition tables are
     not touched, also of the same ``data_source``. An id that stands there for another source or
     another patent is an error, and nothing is written: two partitions share ids, and one of them has
     to be placed behind the other.
@@ -343,14 +380,14 @@ def _add_batch(
     if clash:
         raise ValueError(f"{clash} ids of {target} belong to other rows; place the ids first")
     new = insert_ignore(rows, near.select("id").unionAll(own.select("id")), "id")
-    lost = not own.select("id").join(ids, "id", "left_anti").isEmpty()
+    lost = whole and not own.select("id").join(ids, "id", "left_anti").isEmpty()
     if lost:
         new = own.join(ids, "id", "left_semi").unionByName(new)
     new = new.withColumns({"origin": F.lit(source), "origin_batch": F.lit(params.batch_id)})
     version = tables.write(new.sortWithinPartitions("id"), target, ORIGIN, last=F.max("id"))
     if lost or version.partitions:
         tables.publish(version, gone=is_own if lost else None)
-    return {"scanned": ids.count(), **version.counts}
+    return version.counts
 
 
 # ---- ids of partitions, repairs ----
@@ -394,20 +431,47 @@ def _move_batch(tables: Tables, params: Params, job: str, table, low: int, offse
     _log_run(tables, params, job, name, last_key=old_low, scanned=offset)
 
 
+def _carry_on(tables: Tables, params: Params, before: list[str], after: list[str]) -> None:
+    """Jobs that were done over a batch before a repair are done over it after that, too."""
+    log = tables.read(params.run_log, schemas.RUN_LOG, only=lambda b: b == params.batch_id)
+    done = log.where(F.col("source_version") == ",".join(before))
+    done = done.withColumn("source_version", F.lit(",".join(after)))
+    if not done.isEmpty():
+        tables.upsert(done, params.run_log, schemas.RUN_LOG, schemas.RUN_LOG_KEY)
+
+
 def restore_raw_names(tables: Tables, params: Params) -> None:
     """Put raw classification names back in one batch of Stage."""
-    rows = _batch(tables, params, params.stage_table, schemas.STAGE)
-    if not rows.isEmpty():
-        _swap_batch(tables, params.stage_table, rules.restore_raw(rows))
+    _repair(tables, params, params.stage_table, schemas.STAGE, "stage_id", rules.restore_raw)
 
 
 def refresh_valid_names(tables: Tables, params: Params) -> None:
     """Bring classification names of one batch of Stage over to the valid table."""
-    valid = _batch(tables, params, params.valid_table, schemas.PART)
     stage = _batch(tables, params, params.stage_table, schemas.STAGE)
-    if not valid.isEmpty():
-        fresh = finalize.refresh_valid(valid, stage, ["intci_main_name"])
-        _swap_batch(tables, params.valid_table, fresh)
+    _repair(
+        tables, params, params.valid_table, schemas.PART, "id",
+        lambda valid: finalize.refresh_valid(valid, stage, ["intci_main_name"]),
+    )
+
+
+def _repair(tables: Tables, params: Params, name: str, schema, key: str, rule: Callable[[DataFrame], DataFrame]) -> None:
+    """Rewrite the versions of a batch in which a rule changes a classification name, and no others.
+
+    The names alone are compared first; wide rows are read of the versions that change.
+    """
+    def is_batch(batch) -> bool:
+        return batch == params.batch_id
+
+    before = tables.versions(name, params.batch_id)
+    rows = tables.read(name, schema, is_batch)
+    column = "intci_main_name"
+    new = rule(rows).select(key, F.col(column).alias("_new"))
+    changed = rows.select(key, column).join(new, key).where(~F.col("_new").eqNullSafe(F.col(column)))
+    touched = tables.versions_with(name, schema, written(changed.select(key).distinct(), "changed"), is_batch)
+    if not touched:
+        return
+    tables.publish(tables.write(rule(tables.read(name, schema, is_batch, touched)), name, "batch_id"), old=touched)
+    _carry_on(tables, params, before, tables.versions(name, params.batch_id))
 
 
 # ---- steps by name ----
@@ -439,5 +503,5 @@ def run_steps(
         STEPS[name](tables, dicts, params)
     tables.remove_old(
         (params.stage_table, params.valid_table, params.invalid_table, params.final_valid_table,
-         params.final_invalid_table, params.done_log, params.run_log)
+         params.final_invalid_table, f"{params.stage_table}_keys", params.done_log, params.run_log)
     )

@@ -85,6 +85,11 @@ def unnumbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _patents(spark, _rows(spark, sf_dir), "k AS _seq").drop("_seq")
 
 
+def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view with ``k``, the order of its rows."""
+    return _patents(spark, _rows(spark, sf_dir), "k")
+
+
 def raw(spark: SparkSession, sf_dir: str, total: str | None = None) -> DataFrame:
     """Raw rows as loaded, numbered within their file and, as ``total``, over all files.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import schemas
+from ..constants import INVALID_LENGTHS
 from .inputs import DICTIONARY_ROWS, RAW_TEMPLATE, ROWS_TEMPLATE
 
 _CTES: dict[str, str] = {}
@@ -231,6 +232,18 @@ _cte("front", "SELECT max(stage_id) AS top FROM numbered WHERE batch_id = 'batch
 
 _SHIFTED = """SELECT batch_id, patent_id, patent_name, is_valid, _source_file, _row_num,
   stage_id + top AS stage_id{tag} FROM numbered, front WHERE batch_id = 'batch_2'"""
+_cte("keyed", RAW_TEMPLATE.replace("{numbers}", "k").format(rows="rows"))
+_cte("odd_rows", """SELECT * REPLACE (CASE k % 5 WHEN 0 THEN title || '"' || k || '"' || chr(10) || chr(10)
+      || ', and more' || chr(10) WHEN 1 THEN '5" ' || title ELSE title END AS title),
+    'k' || lpad(CAST(k // 250 AS VARCHAR), 6, '0') || '.csv' AS file FROM keyed""")
+_cte("odd_log", """SELECT file, (min(k) // 250) % 6 AS kind, count(*) AS n,
+    count(*) FILTER (k % 50 = 0) AS n50, count(*) FILTER (k % 100 = 0) AS n100, count(*) FILTER (k % 125 = 0) AS n125,
+    count(*) FILTER (k % 250 = 249) AS n_open FROM odd_rows GROUP BY file""")
+_cte("odd_verdicts", """SELECT file, n, CASE kind WHEN 3 THEN n100 WHEN 4 THEN n125 ELSE 0 END AS odd,
+    CASE WHEN kind = 1 AND n_open > 0 THEN 'a quote is never closed'
+      WHEN kind = 2 AND n50 > 0 THEN n50 || ' lines that are not valid in UTF-8' END AS bad FROM odd_log""")
+_WITHOUT_SIZES = "SELECT * REPLACE (CAST(NULL AS DOUBLE) AS file_size) FROM {}"
+_VALID_LOG = "SELECT batch_id, max(id) AS top, count(*) AS n FROM {} GROUP BY 1"
 _TEXT_COLUMNS = ", ".join(f"coalesce({n}, '') AS {n}" for n in schemas.RAW_COLUMNS)
 
 _QUERIES = {
@@ -353,6 +366,44 @@ _QUERIES = {
         (VALUES ('stage_a', 0), ('stage_a', 1), ('in_stock_a', 1), ('unqualified_a', 0),
           ('final_valid', 1), ('final_invalid', 0)) t(table_name, is_valid)""",
     "csv_round_trip": f"SELECT {_TEXT_COLUMNS} FROM raw",
+    # A blank line behind every seventh record is a row with empty fields.
+    "odd_files": f"""SELECT * EXCLUDE (k, place), row_number() OVER (PARTITION BY _source_file ORDER BY k, place)
+        AS _row_num
+      FROM (SELECT {_TEXT_COLUMNS}, file AS _source_file, k, 0 AS place FROM odd_rows
+        UNION ALL SELECT {", ".join(f"'' AS {n}" for n in schemas.RAW_COLUMNS)}, file, k, 1
+        FROM odd_rows WHERE k % 7 = 0) x""",
+    "bad_files": """SELECT file AS file_name, CASE WHEN bad IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+        CASE WHEN bad IS NULL THEN n END AS rows_loaded, CASE WHEN bad IS NULL THEN n END AS stored,
+        nullif(odd, 0) AS odd,
+        CASE WHEN bad IS NOT NULL THEN bad WHEN odd > 0 THEN odd || ' records have other than 30 fields' END AS error_message
+      FROM odd_verdicts""",
+    "two_sources_final": _final(
+        schemas.FINAL_VALID,
+        {
+            "data_source": "'E'",
+            "inti_main_type_code":
+                "coalesce(nullif(left(trim(intci_main_code, ' '), 3), ''), 'UNK')",
+        },
+        f"({_WITHOUT_SIZES.format('valid')}) v",
+    ),
+    "two_sources_invalid": _final(
+        schemas.FINAL_INVALID,
+        {
+            "data_source": "'E'", "patent_id": "coalesce(patent_id, '')", "reason": "invalid_reason",
+            **{n: f"left({n}, {size})" for n, size in INVALID_LENGTHS.items()},
+        },
+        f"({_WITHOUT_SIZES.format('invalid')}) v",
+    ),
+    "run_log": f"""SELECT * FROM (WITH v AS ({_VALID_LOG.format("valid")}), i AS ({_VALID_LOG.format("invalid")}),
+        t AS (SELECT * FROM (VALUES ('batch_1', 'a'), ('batch_2', 'd')) x(batch_id, part)),
+        e AS (SELECT 'split_in_stock' AS job, 'in_stock_' || part AS target_table, v.* FROM v JOIN t USING (batch_id)
+          UNION ALL SELECT 'split_unqualified', 'unqualified_' || part, i.* FROM i JOIN t USING (batch_id)
+          UNION ALL SELECT 'failed_checks', 'unqualified_' || part, batch_id, 0, 0 FROM t
+          UNION ALL SELECT 'finalize_in_stock_' || part, 'final_valid', v.* FROM v JOIN t USING (batch_id)
+          UNION ALL SELECT 'finalize_unqualified_' || part, 'final_invalid', i.* FROM i JOIN t USING (batch_id))
+      SELECT batch_id, target_table, 'SUCCESS' AS status, top AS last_key, n AS inserted_rows,
+        regexp_replace(job, '_a$', '') AS job FROM e) q""",
+    "resumed_batch": "SELECT * FROM cleaned WHERE batch_id = 'batch_1'",
 }
 
 

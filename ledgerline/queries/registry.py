@@ -219,7 +219,7 @@ def final_valid(spark, sf_dir):
 
 @query
 def final_invalid(spark, sf_dir):
-    rows = _with_sizes(_cleaned(spark, sf_dir))
+    rows = written(_with_sizes(_cleaned(spark, sf_dir)), "cleaned")
     valid, invalid = _checked(split.split_valid(rows)), split.split_invalid(rows)
     late = finalize.failed_checks(valid, invalid, PARAMS, unique=True)
     return finalize.final_invalid(invalid.unionByName(late), PARAMS)
@@ -348,9 +348,9 @@ def file_audit(spark, sf_dir):
 
 @query
 def conservation(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir)
-    valid, invalid = split.split_valid(cleaned), split.split_invalid(cleaned)
-    return audit.conservation(cleaned, valid, invalid)
+    columns = ("batch_id", "stage_id", "is_valid", "patent_id")
+    cleaned = written(_cleaned(spark, sf_dir).select(*columns), "cleaned")
+    return audit.routed(cleaned)
 
 
 @query
@@ -398,13 +398,15 @@ def ingest_resume(spark, sf_dir):
     )
 
 
+ALL_STEPS = "ods2stage,stage_clean,split,final_instock,final_unqualified"
+
+
 @query
 def default_steps(spark, sf_dir):
     """All steps over a loaded folder, run twice: rows by table and verdict."""
     tables, _ = _loaded(spark, sf_dir)
-    steps = "ods2stage,stage_clean,split,final_instock,final_unqualified"
     for _ in range(2):
-        run_steps(tables, dictionaries(spark), PARAMS, steps)
+        run_steps(tables, dictionaries(spark), PARAMS, ALL_STEPS)
     counts = []
     for name, schema, verdict in (
         (PARAMS.stage_table, schemas.STAGE, F.col("is_valid")),
@@ -418,3 +420,149 @@ def default_steps(spark, sf_dir):
             rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(name))
         )
     return finalize.merge_sources(*counts)
+
+
+# Records of a file, and what is odd about some of them.
+FILE_RECORDS = 250
+
+
+def _odd_rows(spark, sf_dir) -> DataFrame:
+    """The rows with the file they go to, some titles over several lines or with quotes in them."""
+    rows = inputs.keyed(spark, sf_dir)
+    k, title = F.col("k"), F.col("title")
+    lines = F.concat(title, F.lit('"'), k.cast("string"), F.lit('"\n\n, and more\n'))
+    new = F.when(k % 5 == 0, lines).when(k % 5 == 1, F.concat(F.lit('5" '), title)).otherwise(title)
+    name = F.concat(F.lit("k"), F.lpad(F.floor(k / FILE_RECORDS).cast("string"), 6, "0"), F.lit(".csv"))
+    return rows.withColumns({"title": new, "file": name})
+
+
+def _csv_folder(spark, rows: DataFrame, folder: str) -> None:
+    """One CSV file for each ``file`` of rows ``(file, k, text)``; a file has few of them."""
+    header = ",".join(schemas.RAW_COLUMNS)
+    body = F.transform(F.array_sort(F.collect_list(F.struct("k", "text"))), lambda x: x["text"])
+    files = rows.groupBy("file").agg(F.concat_ws("\n", F.lit(header), F.array_join(body, "\n")).alias("value"))
+    files.write.partitionBy("file").text(f"{folder}-parts")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop(folder))
+    for part in system.globStatus(hadoop(f"{folder}-parts/file=*/part-*")):
+        name = part.getPath().getParent().getName().split("=", 1)[1]
+        system.rename(part.getPath(), hadoop(f"{folder}/{name}"))
+
+
+def _record_text() -> F.Column:
+    options = {
+        "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    }
+    return F.to_csv(F.struct(*schemas.RAW_COLUMNS), options)
+
+
+@query
+def odd_files(spark, sf_dir):
+    """Rows and numbers of files with records over several lines, quotes and blank lines."""
+    root = scratch_folder(spark, "odd")
+    rows = _odd_rows(spark, sf_dir)
+    text = _record_text()
+    text = F.when(F.col("k") % 7 == 0, F.concat(text, F.lit("\n"))).otherwise(text)
+    _csv_folder(spark, rows.select("file", "k", text.alias("text")), f"{root}/csv")
+    tables = Tables(spark, f"{root}/tables")
+    ingest(tables, PARAMS, f"{root}/csv", "full")
+    return tables.read(PARAMS.ods_table, schemas.ODS).select(*schemas.RAW_COLUMNS, "_source_file", "_row_num")
+
+
+@query
+def bad_files(spark, sf_dir):
+    """The log of files of which some have a quote that is never closed, characters of another encoding,
+    or records with too few or too many fields, with the rows and the odd records stored of each."""
+    root = scratch_folder(spark, "bad")
+    rows = _odd_rows(spark, sf_dir)
+    k, kind = F.col("k"), F.floor(F.col("k") / FILE_RECORDS) % 6
+    text = _record_text()
+    text = (
+        F.when((kind == 1) & (k % FILE_RECORDS == FILE_RECORDS - 1), F.lit('x,"open'))
+        .when((kind == 2) & (k % 50 == 0), F.concat(F.unhex(F.lit("D6D0")).cast("string"), text))
+        .when((kind == 3) & (k % 100 == 0), F.lit("too,few"))
+        .when((kind == 4) & (k % 125 == 0), F.concat(text, F.lit(",too,many")))
+        .otherwise(text)
+    )
+    plain = rows.withColumn("title", F.lit("t"))
+    _csv_folder(spark, plain.select("file", "k", text.alias("text")), f"{root}/csv")
+    tables = Tables(spark, f"{root}/tables")
+    ingest(tables, PARAMS, f"{root}/csv", "full")
+    log = tables.read(PARAMS.file_log, schemas.FILE_LOG)
+    stored = tables.read(PARAMS.ods_table, schemas.ODS).groupBy("_source_file").agg(F.count(F.lit(1)).alias("stored"))
+    odd = tables.read(PARAMS.bad_records, schemas.BAD_RECORDS).groupBy("file_name").agg(F.count(F.lit(1)).alias("odd"))
+    return (
+        log.join(stored, F.col("file_name") == F.col("_source_file"), "left").join(odd, "file_name", "left")
+        .select("file_name", "status", "rows_loaded", "error_message", "stored", "odd")
+    )
+
+
+def _ods(spark, sf_dir, tables: Tables, params, batch_id: str, files: list[str] | None = None) -> None:
+    """Put rows of a batch into the raw table and its files into the log."""
+    rows = raw(spark, sf_dir).where(F.col("batch_id") == batch_id)
+    if files:
+        rows = rows.where(F.col("_source_file").isin(files))
+    tables.append(rows.select(*schemas.ODS.fieldNames()), params.ods_table, "batch_id")
+    sizes = rows.groupBy("batch_id", F.col("_source_file").alias("file_name")).agg(F.count(F.lit(1)).alias("rows_loaded"))
+    entry = {
+        "table_name": F.lit(params.ods_table), "status": F.lit(C.STATUS_OK),
+        "created_at": F.lit(params.run_ts), "updated_at": F.lit(params.run_ts),
+    }
+    for field in schemas.FILE_LOG.fields:
+        if field.name not in (*entry, "batch_id", "file_name", "rows_loaded"):
+            entry[field.name] = F.lit(None).cast(field.dataType)
+    log = sizes.withColumns(entry).select(*schemas.FILE_LOG.fieldNames())
+    tables.upsert(log, params.file_log, schemas.FILE_LOG, schemas.FILE_LOG_KEY)
+
+
+def _two_sources(spark, sf_dir) -> Tables:
+    """Two partitions of one ``data_source``, finalised one after the other, the first one twice."""
+    tables = Tables(spark, scratch_folder(spark, "two-sources"))
+    first = replace(PARAMS, data_source="E")
+    second = replace(
+        first, batch_id="batch_2", ods_table="ods_d", stage_table="stage_d", valid_table="in_stock_d",
+        invalid_table="unqualified_d", start_after=(first.stage_table,),
+    )
+    for params, batch in ((first, "batch_1"), (second, "batch_2")):
+        _ods(spark, sf_dir, tables, params, batch)
+        run_steps(tables, dictionaries(spark), params, ALL_STEPS)
+    run_steps(tables, dictionaries(spark), first, ALL_STEPS)
+    return tables
+
+
+@query
+def two_sources_final(spark, sf_dir):
+    """Final valid rows of two partitions that share their ``data_source``."""
+    return _two_sources(spark, sf_dir).read(PARAMS.final_valid_table, schemas.FINAL_VALID)
+
+
+@query
+def two_sources_invalid(spark, sf_dir):
+    """Final invalid rows of two partitions that share their ``data_source``."""
+    return _two_sources(spark, sf_dir).read(PARAMS.final_invalid_table, schemas.FINAL_INVALID)
+
+
+@query
+def run_log(spark, sf_dir):
+    """What every job has entered for every batch: highest id and rows, taken while they were written."""
+    log = _two_sources(spark, sf_dir).read(PARAMS.run_log, schemas.RUN_LOG)
+    return log.where(~F.startswith("job_name", F.lit("clean"))).select(
+        "batch_id", "target_table", "status", "last_key", F.col("inserted_rows"),
+        F.regexp_replace("job_name", "_a_v1$|_v1$", "").alias("job"),
+    )
+
+
+@query
+def resumed_batch(spark, sf_dir):
+    """Stage of a batch whose second half came after the first was split, with a write that broke off."""
+    tables = Tables(spark, scratch_folder(spark, "resumed"))
+    halves = [[f"f{k}.csv" for k in range(4)], [f"f{k}.csv" for k in range(4, 8)]]
+    for files in halves:
+        _ods(spark, sf_dir, tables, PARAMS, PARAMS.batch_id, files)
+        for _ in range(2):
+            run_steps(tables, dictionaries(spark), PARAMS)
+        lost = tables.read(PARAMS.stage_table, schemas.STAGE).withColumn("patent_id", F.lit("lost"))
+        tables.write(lost.limit(10), PARAMS.stage_table, "batch_id")
+    return without_run_times(tables.read(PARAMS.stage_table, schemas.STAGE))

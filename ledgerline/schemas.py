@@ -97,6 +97,9 @@ DONE_LOG = _schema("""
 """)
 DONE_LOG_KEY = ["table_name", "stage_table", "batch_id", "file_name"]
 
+# Ids of the valid rows of Stage, per load of a batch: key, lowest Stage id, rows.
+STAGE_KEYS = _schema("batch_id _key keep_id:l cnt:l")
+
 RUN_LOG = _schema("""
     job_name batch_id target_table status source_version last_key:l scanned_rows:l updated_rows:l
     inserted_rows:l created_at:t updated_at:t

@@ -103,14 +103,22 @@ class Tables:
         rows = self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
         return rows.select(*schema.fieldNames())
 
-    def read(
-        self, name: str, schema: T.StructType, only: Callable[..., bool] | None = None
-    ) -> DataFrame:
-        """Rows in use. ``only`` gets the values of a partition and says whether it is read."""
+    def _state_of(self, name: str, only: Callable[..., bool] | None, versions: Iterable[str] | None = None):
         state = self.state(name)
         if only is not None:
-            state = {p: v for p, v in state.items() if only(*_values(p))}
-        return self._found(state, name, schema)
+            state = {p: vs for p, vs in state.items() if only(*_values(p))}
+        if versions is not None:
+            wanted = set(versions)
+            state = {p: [v for v in vs if v in wanted] for p, vs in state.items()}
+        return state
+
+    def read(
+        self, name: str, schema: T.StructType, only: Callable[..., bool] | None = None,
+        versions: Iterable[str] | None = None,
+    ) -> DataFrame:
+        """Rows in use. ``only`` gets the values of a partition and says whether it is read;
+        ``versions`` leaves out all others."""
+        return self._found(self._state_of(name, only, versions), name, schema)
 
     def rows_of(self, version: Version, schema: T.StructType) -> DataFrame:
         """The rows of a version, in use or not."""
@@ -119,10 +127,23 @@ class Tables:
     def partitions(self, name: str) -> list[tuple[str | None, ...]]:
         return sorted((_values(p) for p in self.state(name)), key=str)
 
-    def version(self, name: str, *values: str) -> str:
-        """What a partition is made of; it changes with every write to it."""
-        found = [v for p, vs in self.state(name).items() if _values(p) == values for v in vs]
-        return ",".join(found)
+    def versions(self, name: str, *values: str) -> list[str]:
+        """What a partition is made of, oldest first; it changes with every write to it."""
+        return [v for p, vs in self.state(name).items() if _values(p) == values for v in vs]
+
+    def versions_with(
+        self, name: str, schema: T.StructType, keys: DataFrame, only: Callable[..., bool] | None = None
+    ) -> list[str]:
+        """The versions that hold a row whose columns are in ``keys``; only these columns are read."""
+        path = F.regexp_extract("_metadata.file_path", r"/v=([0-9a-f]{32})/", 1)
+        root = self.path(name)
+        state = self._state_of(name, only)
+        paths = [f"{root}/v={v}/{p}" for p, versions in sorted(state.items()) for v in versions]
+        if not paths:
+            return []
+        rows = self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
+        found = rows.select(*keys.columns, path.alias("_version")).distinct()
+        return [r[0] for r in found.join(keys, keys.columns, "left_semi").select("_version").distinct().collect()]
 
     # ---- writes ----
 
@@ -144,10 +165,11 @@ class Tables:
 
     def publish(
         self, *versions: Version, replace: bool = False,
-        gone: Callable[..., bool] | None = None, table: str | None = None,
+        gone: Callable[..., bool] | None = None, old: Iterable[str] = (), table: str | None = None,
     ) -> None:
         """One log entry for versions of one table. With ``replace`` they take the place of the
-        partitions that they have rows for; ``gone`` says of which others the rows go."""
+        partitions that they have rows for; ``gone`` says of which others the rows go, and the versions
+        ``old`` go from all partitions."""
         name = table or versions[0].table
         entries = self._entries(name)
         state = dict(self._entry(name, entries[-1])) if entries else {}
@@ -156,6 +178,10 @@ class Tables:
         if replace:
             for part in {p for v in versions for p in v.partitions}:
                 state.pop(part, None)
+        old = set(old)
+        if old:
+            left = {p: [v for v in vs if v not in old] for p, vs in state.items()}
+            state = {p: vs for p, vs in left.items() if vs}
         for version in versions:
             for part in version.partitions:
                 state[part] = [*state.get(part, ()), version.name]

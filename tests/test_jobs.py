@@ -569,3 +569,129 @@ def test_unknown_step_and_mode(spark, tables, params):
         Params(mode="sometimes")
     with pytest.raises(ValueError):
         Params(rules=("path", "other"))
+
+
+# ---- versions, origins and audits ----
+
+
+def other_partition(params, **changed):
+    return replace(
+        params, batch_id="batch_2", ods_table="ods_d", stage_table="stage_d", valid_table="in_stock_d",
+        invalid_table="unqualified_d", start_after=(params.stage_table,), **changed,
+    )
+
+
+def test_two_partitions_of_one_source(spark, tables, params, loaded, tmp_path):
+    dicts = dictionaries(spark)
+    jobs.run_steps(tables, dicts, params, ALL)
+    before = state(tables, params)
+    other = other_partition(params)
+    folder = str(tmp_path / "csv_d")
+    put(folder, "d1.csv", line("Q1"), line("", country="HK"))
+    ingest(tables, other, folder)
+    jobs.run_steps(tables, dicts, other, ALL)
+    after = state(tables, params)
+    for name in (params.final_valid_table, params.final_invalid_table):
+        assert set(before[name]) < set(after[name])
+    valid = tables.read(params.final_valid_table, schemas.FINAL_VALID)
+    assert ids_of(valid, "id", "data_source") == [(1, "A"), (4, "A"), (6, "A")]
+    # A replaced file of one partition takes its own rows along, and no others.
+    put(folder, "d1.csv", line("Q2"))
+    ingest(tables, later(other), folder, "resume")
+    jobs.run_steps(tables, dicts, later(other), ALL)
+    valid = tables.read(params.final_valid_table, schemas.FINAL_VALID)
+    assert ids_of(valid, "id", "patent_id") == [(1, "P1"), (4, "P2"), (8, "Q2")]
+    invalid = tables.read(params.final_invalid_table, schemas.FINAL_INVALID)
+    assert ids_of(invalid, "id") == [(2,), (3,), (5,)]
+
+
+def test_a_grown_batch_reads_new_rows_only(spark, tables, params, loaded, monkeypatch):
+    dicts = dictionaries(spark)
+    jobs.run_steps(tables, dicts, params, ALL)
+    old = tables.versions(params.stage_table, params.batch_id)
+    put(loaded, "f3.csv", line("p1 "), line("P7"), line("P7"), line("P2", hasfulltext="0"))
+    ingest(tables, later(params), loaded, "resume")
+    seen = []
+    clean = jobs.rules.clean
+
+    def watched(rows, *args):
+        seen.append(rows.count())
+        return clean(rows, *args)
+
+    monkeypatch.setattr(jobs.rules, "clean", watched)
+    jobs.run_steps(tables, dicts, later(params), ALL)
+    assert seen == [4]
+    assert tables.versions(params.stage_table, params.batch_id)[: len(old)] == old
+    stage = tables.read(params.stage_table, schemas.STAGE)
+    assert ids_of(stage, "stage_id", "patent_id", "is_valid")[5:] == [
+        (6, "p1 ", 0), (7, "P7", 1), (8, "P7", 0), (9, "P2", 0)
+    ]
+    row = stage.where("stage_id = 6").first()
+    assert row.invalid_reason == "重复patent_id"
+    log = tables.read(params.run_log, schemas.RUN_LOG).where("job_name = 'clean_stage_a_v1'").first()
+    assert (log.scanned_rows, log.last_key) == (4, 9)
+    final = tables.read(params.final_valid_table, schemas.FINAL_VALID)
+    assert ids_of(final, "id") == [(1,), (4,), (7,)]
+
+
+def test_rows_that_go_nowhere_stop_the_split(spark, tables, params, loaded):
+    dicts = dictionaries(spark)
+    jobs.run_steps(tables, dicts, params, ALL)
+    before = state(tables, params)
+    rows = tables.read(params.stage_table, schemas.STAGE)
+    lost = rows.withColumn("is_valid", F.when(F.col("stage_id") == 1, None).otherwise(F.col("is_valid")))
+    tables.replace_partitions(lost, params.stage_table, "batch_id")
+    with pytest.raises(jobs.AuditError, match="1 of 5 rows"):
+        jobs.split_stage(tables, later(params))
+    log = tables.read(params.run_log, schemas.RUN_LOG).where("status = 'FAILED'")
+    assert ids_of(log, "target_table", "scanned_rows", "inserted_rows") == [("in_stock_a", 5, 4), ("unqualified_a", 5, 4)]
+    after = state(tables, params)
+    assert {k: v for k, v in after.items() if k != params.stage_table} == {
+        k: v for k, v in before.items() if k != params.stage_table
+    }
+
+
+def test_a_run_that_breaks_off_anywhere_goes_on(spark, tables, params, loaded, monkeypatch):
+    dicts = dictionaries(spark)
+    commit, calls = Tables._commit, []
+
+    def breaking(at):
+        def run(self, name, number, new):
+            calls.append(name)
+            if len(calls) == at:
+                raise RuntimeError("lost driver")
+            commit(self, name, number, new)
+        return run
+
+    for at in (1, 2, 3, 5, 7, 9, 12, 15):
+        calls.clear()
+        before = state(tables, params)
+        monkeypatch.setattr(Tables, "_commit", breaking(at))
+        try:
+            jobs.run_steps(tables, dicts, params, ALL)
+            break
+        except RuntimeError:
+            pass
+        finally:
+            monkeypatch.undo()
+        if at == 1:
+            assert state(tables, params) == before
+    jobs.run_steps(tables, dicts, params, ALL)
+    stage = tables.read(params.stage_table, schemas.STAGE)
+    assert ids_of(stage, "patent_id", "is_valid") == [("", 0), ("P1", 1), ("P2", 1), ("P3", 0), ("p1", 0)]
+    final = tables.read(params.final_valid_table, schemas.FINAL_VALID)
+    assert ids_of(final, "patent_id") == [("P1",), ("P2",)]
+    assert tables.read(params.final_invalid_table, schemas.FINAL_INVALID).count() == 3
+
+
+def test_a_replaced_file_rewrites_only_its_version(spark, tables, params, loaded):
+    put(loaded, "f3.csv", line("P7"))
+    ingest(tables, later(params), loaded, "resume")
+    first, second = tables.versions(params.ods_table, params.batch_id)
+    put(loaded, "f3.csv", line("P8"), line("P9"))
+    ingest(tables, later(params, 2), loaded, "resume")
+    versions = tables.versions(params.ods_table, params.batch_id)
+    assert first in versions and second not in versions
+    ods = tables.read(params.ods_table, schemas.ODS)
+    assert ids_of(ods.where("_source_file = 'f3.csv'"), "id", "_row_num") == [("P8", 1), ("P9", 2)]
+    assert ods.count() == 7

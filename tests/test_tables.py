@@ -24,15 +24,15 @@ def rows_of(tables, **options):
 
 
 def test_append_replace_and_empty(spark, tables):
-    assert rows_of(tables) == [] and tables.partitions("t") == [] and tables.version("t", "a") == ""
+    assert rows_of(tables) == [] and tables.partitions("t") == [] and tables.versions("t", "a") == []
     counts = tables.append(frame(spark, ROWS), "t", "batch_id", top=F.max("n"))
     assert counts == {"rows": 4, "top": 4}
     assert rows_of(tables) == sorted(ROWS, key=repr)
     assert tables.partitions("t") == [("a",), ("b:1/[2]",), (None,)]
-    before = tables.version("t", "a"), tables.version("t", "b:1/[2]")
+    before = tables.versions("t", "a"), tables.versions("t", "b:1/[2]")
     tables.append(frame(spark, [("a", "z", 9)]), "t", "batch_id")
     assert rows_of(tables, only=lambda b: b == "a") == [("a", "x", 1), ("a", "y", 2), ("a", "z", 9)]
-    assert tables.version("t", "a") != before[0] and tables.version("t", "b:1/[2]") == before[1]
+    assert tables.versions("t", "a") != before[0] and tables.versions("t", "b:1/[2]") == before[1]
     # A plan that reads the table is written to the same table.
     twice = tables.read("t", SCHEMA).where("batch_id = 'a'").withColumn("n", F.col("n") * 2)
     tables.replace_partitions(twice, "t", "batch_id")
