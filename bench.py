@@ -22,7 +22,7 @@ HEADLINE = [
     "legal_status_map", "language_map", "standardize_full", "assign_ids", "path_prune",
     "dedup_flag", "region_fix", "clean_full", "split_valid", "split_invalid", "final_valid",
     "final_invalid", "merge_partitions", "refresh_in_stock", "file_audit", "conservation",
-    "csv_round_trip", "ingest_resume",
+    "csv_round_trip", "ingest_resume", "default_steps",
 ]
 
 

@@ -66,8 +66,10 @@ def ingest(
     encodings: Sequence[str] = ("UTF-8",),
     replace_rows: bool | None = None,
     failed_list: str | None = None,
+    files: DataFrame | None = None,
 ) -> str:
-    """Load the CSV files of a folder; returns the batch id.
+    """Load the CSV files of a folder, or those in ``files`` (as ``list_files`` gives them); returns the
+    batch id.
 
     Files that cannot be read, that have undecodable characters or a quote that is never closed are
     logged as FAILED with the reason, and nothing of them lands; all others land. If any has failed,
@@ -82,7 +84,8 @@ def ingest(
     spark = tables.spark
     log = tables.read(params.file_log, schemas.FILE_LOG, only=lambda b: b == params.batch_id)
     log = log.where(F.col("table_name") == params.ods_table)
-    todo = files_to_load(list_files(spark, folder), log, mode, skip_unchanged).collect()
+    files = list_files(spark, folder) if files is None else files
+    todo = files_to_load(files, log, mode, skip_unchanged).collect()
     if not todo:
         return params.batch_id
     loaded: list[tuple[DataFrame, str, list[Row]]] = []

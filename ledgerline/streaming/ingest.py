@@ -1,8 +1,8 @@
-"""New CSV files to Stage as they arrive.
+"""New CSV files to the raw table and Stage as they arrive.
 
-The stream's own checkpoint remembers the files that were read, in place of the file log. Each
-micro-batch is standardised like a batch run. A micro-batch that is repeated after a failure
-replaces its own partition, so its rows are stored once.
+The stream says which files are new; its checkpoint remembers them. Each micro-batch is a batch of its
+own and goes the way of a batch run: raw table, file log with failed files by themselves, Stage. A
+micro-batch that is repeated after a failure finds in the log what it has done already.
 """
 
 from __future__ import annotations
@@ -12,20 +12,28 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import schemas
-from ..operators.ids import max_key
 from ..params import Params
-from ..plans.jobs import stage_with_ids
-from ..sources.csv_files import csv_reader_options, tidy_csv, with_row_numbers
+from ..plans.ingest import ingest
+from ..plans.jobs import ods_to_stage
 from ..sources.dictionaries import Dictionaries
 from ..sources.tables import Tables
 
+# The columns of Spark's reader of whole files.
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_files(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
-    """Stream of raw rows, at most ``max_files`` new files per micro-batch."""
-    reader = spark.readStream.schema(schemas.RAW).options(**csv_reader_options())
-    rows = reader.option("maxFilesPerTrigger", max_files).option("pathGlobFilter", "*.csv")
-    return tidy_csv(rows.csv(folder))
+    """Stream of new CSV files, at most ``max_files`` per micro-batch: file_path, file_name, file_size,
+    file_mtime. No content is read. Names that begin with ``_`` or ``.`` are passed over by streams."""
+    reader = spark.readStream.format("binaryFile").schema(FILES)
+    rows = reader.option("maxFilesPerTrigger", max_files).option("pathGlobFilter", "*.csv").load(folder)
+    name = F.substring_index("path", "/", -1)
+    return rows.where(~F.startswith(name, F.lit("~$"))).select(
+        F.col("path").alias("file_path"),
+        name.alias("file_name"),
+        F.col("length").alias("file_size"),
+        F.date_trunc("second", "modificationTime").alias("file_mtime"),
+    )
 
 
 def start_ingest(
@@ -37,18 +45,10 @@ def start_ingest(
     Each micro-batch becomes a batch of its own, named after ``params.batch_id`` and its number.
     """
 
-    def store(rows: DataFrame, number: int) -> None:
+    def store(files: DataFrame, number: int) -> None:
         batch = replace(params, batch_id=f"{params.batch_id}_{number:06d}")
-        no_user = F.lit(None).cast("string")
-        ods = with_row_numbers(rows).withColumns(
-            {"batch_id": F.lit(batch.batch_id), "created_by": no_user, "updated_by": no_user}
-        )
-        stored = tables.read(params.stage_table, schemas.STAGE)
-        others = stored.where(F.col("batch_id") != batch.batch_id)
-        stage = stage_with_ids(ods, dicts, batch, max_key(others, "stage_id"))
-        stage = stage.select(*schemas.STAGE.fieldNames())
-        tables.replace_partitions(stage, params.stage_table, "batch_id")
-
-    stream = stream_files(tables.spark, folder, max_files)
-    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+        ingest(tables, batch, folder, "resume", files=files)
+        ods_to_stage(tables, dicts, batch)
+
+    writer = stream_files(tables.spark, folder, max_files).writeStream.foreachBatch(store)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
