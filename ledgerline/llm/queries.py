@@ -38,5 +38,6 @@ ORACLE = {
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
     "op10_warc": warc.OP10_SQL,
+    "op12_spelling": spelling.OP12_SQL,
     "op13_line_dedup": line_dedup.OP13_SQL,
 }

@@ -287,3 +287,59 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variants among the words of all documents, with typing errors put in by the contract's rule."""
     runs = letter_runs(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return variants(vocabulary(runs.select(with_typos().alias("word"))))
+
+
+# CRC-32 as the polynomial division that defines it, a byte at a time, over a table made here.
+OP12_SQL = r"""
+WITH RECURSIVE polynomial(i, step, c) AS (
+  SELECT i, 0, i::UBIGINT FROM range(256) t(i)
+  UNION ALL
+  SELECT i, step + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END
+  FROM polynomial WHERE step < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS steps FROM polynomial WHERE step = 8
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{7,}')) AS run
+  FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS times, hex(encode(doc_id || ':' || run)) AS digits FROM runs GROUP BY 1, 2
+), hashed AS (
+  SELECT run, times, xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(range(0, length(digits), 2),
+      lambda i: ('0x' || substring(digits, i + 1, 2))::UBIGINT)),
+    lambda a, b: xor(steps[(xor(a, b) % 256)::BIGINT + 1], a >> 8))) AS h
+  FROM counted, crc
+), typed AS (
+  SELECT times, CASE WHEN h % 31 = 0
+    THEN left(run, (h % length(run))::INT) || substring(run, (h % length(run))::INT + 2) ELSE run END AS word
+  FROM hashed
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), shorter AS (
+  SELECT word, n, i, left(word, i::INT) || substring(word, i::INT + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words) x
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b USING (i, rest) WHERE a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS top FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+    CASE WHEN b.top >= 10 * w.n THEN b.top END AS form_n,
+    CASE WHEN b.top >= 10 * w.n
+      THEN (SELECT min(o.other) FROM near o WHERE o.word = w.word AND o.other_n = b.top) END AS form
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), chain(word, root) AS (
+  SELECT word, form FROM formed WHERE form IS NOT NULL
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+), last AS (
+  SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL
+)
+SELECT f.word, f.form, coalesce(l.root, f.word) AS root, f.n, f.n_near, f.form_n
+FROM formed f LEFT JOIN last l ON l.word = f.word
+"""
