@@ -94,6 +94,11 @@ def min_key(df: DataFrame, key: str) -> int | None:
     return df.agg(F.min(key)).first()[0]
 
 
+def lowest_keys(df: DataFrame, key: str, by: list[str], out: str) -> DataFrame:
+    """Lowest key per group: where open work starts in each."""
+    return df.groupBy(*by).agg(F.min(key).alias(out))
+
+
 def shift_ids(df: DataFrame, key: str, offset: int, old_max: int) -> DataFrame:
     """Move the ids up to ``old_max`` by ``offset``; ids above it were moved before."""
     moved = F.when(F.col(key) <= old_max, F.col(key) + offset).otherwise(F.col(key))

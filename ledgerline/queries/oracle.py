@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from .. import schemas
-from ..constants import INVALID_LENGTHS
+from .. import constants as C, schemas
 from .inputs import DICTIONARY_ROWS, RAW_TEMPLATE, ROWS_TEMPLATE
 
 _CTES: dict[str, str] = {}
@@ -21,7 +20,8 @@ def _date(c: str) -> str:
     t = f"trim({c}, ' ')"
     p = f"replace(replace({t}, '/', '-'), 'T', ' ')"
     day = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    loose = "[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ ].*)?"
+    clock = "([01]?[0-9]|2[0-3])(:|:[0-5]?[0-9]:?|:[0-5]?[0-9]:[0-5]?[0-9].*)?"
+    loose = f"[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}([ ]*|[ ]+{clock})"
     return f"""CASE
       WHEN {_is_blank(c)} OR {t} IN ('0000-00-00', '0000-00-00 00:00:00') THEN NULL
       WHEN regexp_full_match({t}, '[0-9]{{8}}') THEN CAST(try_strptime({t}, '%Y%m%d') AS DATE)
@@ -68,11 +68,11 @@ for _name, (_columns, _rows) in DICTIONARY_ROWS.items():
 _VALID = f"""CASE WHEN {_is_blank('id')} THEN 0 WHEN hasfulltext IS NULL OR hasfulltext = '0' THEN 0
   WHEN publish_file IS NULL THEN 0 ELSE 1 END"""
 _REASON = f"""trim(concat(
-  CASE WHEN {_is_blank('id')} THEN 'patent_id为空;' ELSE '' END,
+  CASE WHEN {_is_blank('id')} THEN '{C.REASON_ID_BLANK};' ELSE '' END,
   CASE WHEN {_is_blank('hasfulltext')} OR trim(hasfulltext, ' ') = '0'
-    THEN 'hasfulltext为0或为空;' ELSE '' END,
+    THEN '{C.REASON_NO_FULLTEXT};' ELSE '' END,
   CASE WHEN trim(hasfulltext, ' ') = '1' AND {_is_blank('publish_file')}
-    THEN 'hasfulltext是1但publish_file为空;' ELSE '' END), ';')"""
+    THEN '{C.REASON_NO_FILE};' ELSE '' END), ';')"""
 _NUMBER = "nullif(regexp_replace(upper(trim(patentcode, ' ')), '^CN', ''), '')"
 _PUBLICATION = "nullif(upper(trim(publicationno, ' ')), '')"
 _FULLTEXT = "CASE trim(hasfulltext, ' ') WHEN '1' THEN 1 WHEN '0' THEN 0 END"
@@ -151,7 +151,7 @@ _cte("repeated", _REPEATED)
 def _flagged(source: str) -> str:
     return f"""SELECT x.* EXCLUDE (rep) REPLACE (
       CASE WHEN rep THEN 0 ELSE is_valid END AS is_valid,
-      CASE WHEN rep THEN {_append('invalid_reason', '重复patent_id')} ELSE invalid_reason END
+      CASE WHEN rep THEN {_append('invalid_reason', C.REASON_DUPLICATE)} ELSE invalid_reason END
         AS invalid_reason)
     FROM (SELECT g.*, coalesce(g.is_valid = 1 AND g.stage_id <> d.keep_id, false) AS rep
       FROM {source} g LEFT JOIN repeated d ON d.batch_id = g.batch_id
@@ -390,7 +390,7 @@ _QUERIES = {
         schemas.FINAL_INVALID,
         {
             "data_source": "'E'", "patent_id": "coalesce(patent_id, '')", "reason": "invalid_reason",
-            **{n: f"left({n}, {size})" for n, size in INVALID_LENGTHS.items()},
+            **{n: f"left({n}, {size})" for n, size in C.INVALID_LENGTHS.items()},
         },
         f"({_WITHOUT_SIZES.format('invalid')}) v",
     ),
@@ -403,6 +403,18 @@ _QUERIES = {
           UNION ALL SELECT 'finalize_unqualified_' || part, 'final_invalid', i.* FROM i JOIN t USING (batch_id))
       SELECT batch_id, target_table, 'SUCCESS' AS status, top AS last_key, n AS inserted_rows,
         regexp_replace(job, '_a$', '') AS job FROM e) q""",
+    "touched_rows": """SELECT s.stage_id, s.intci_main_name IS DISTINCT FROM c.intci_main_name
+        OR s.is_valid <> c.is_valid OR s.invalid_reason IS DISTINCT FROM c.invalid_reason
+        OR s.appl_province IS DISTINCT FROM c.appl_province OR s.appl_country IS DISTINCT FROM c.appl_country
+        OR s.signory_item IS DISTINCT FROM c.signory_item
+        OR s.application_origin IS DISTINCT FROM c.application_origin AS touched
+      FROM stage s JOIN cleaned c USING (stage_id)""",
+    "key_slice": """SELECT stage_id, _source_file FROM stage WHERE stage_id BETWEEN
+      (SELECT min(stage_id) FROM stage WHERE _source_file IN ('f2.csv', 'f4.csv')) AND
+      (SELECT max(stage_id) FROM stage WHERE _source_file IN ('f2.csv', 'f4.csv'))""",
+    "lowest_open_key": """SELECT batch_id, min(stage_id) AS open_key FROM stage
+      WHERE (batch_id, _source_file) NOT IN (SELECT batch_id, file_name FROM done_log WHERE status = 'SUCCESS')
+      GROUP BY 1""",
     "resumed_batch": "SELECT * FROM cleaned WHERE batch_id = 'batch_1'",
 }
 

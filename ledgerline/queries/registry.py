@@ -365,6 +365,30 @@ def run_totals(spark, sf_dir):
     return audit.run_totals(_file_log(spark, sf_dir))
 
 
+@query
+def touched_rows(spark, sf_dir):
+    """Which rows the clean rules change: only these get a new date."""
+    later = replace(PARAMS, run_ts=PARAMS.run_ts + timedelta(hours=1))
+    rows = rules.clean(stage(spark, sf_dir), dictionaries(spark), later)
+    return rows.select("stage_id", (F.col("updated_date") == F.lit(later.run_ts)).alias("touched"))
+
+
+@query
+def key_slice(spark, sf_dir):
+    """Rows in the id range of two files."""
+    rows = stage(spark, sf_dir).select("stage_id", "_source_file")
+    return upsert.key_window(rows, rows.where(F.col("_source_file").isin("f2.csv", "f4.csv")), "stage_id")
+
+
+@query
+def lowest_open_key(spark, sf_dir):
+    """Where the work that is still open begins, per batch."""
+    rows = stage(spark, sf_dir).select("batch_id", "stage_id", F.col("_source_file").alias("file_name"))
+    done = _done_log(spark, sf_dir).where(F.col("status") == C.STATUS_OK).select("batch_id", "file_name")
+    left = rows.join(done, ["batch_id", "file_name"], "left_anti")
+    return ids.lowest_keys(left, "stage_id", ["batch_id"], "open_key")
+
+
 # ---- folders, logs and whole runs ----
 
 
