@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.scratch import written
 from .joins import fits_broadcast, hot_split_join
 
 BLOCK = 1 << 16
@@ -19,6 +20,7 @@ def number_rows(
     total: str | None = None,
     start: int = 0,
     block: int = BLOCK,
+    dense: bool = True,
 ) -> DataFrame:
     """Number rows 1, 2, ... within each group in the order of ``seq`` (an integer column).
 
@@ -28,17 +30,28 @@ def number_rows(
     most ``block`` rows (times the repeats of a value) however large the group is. Only the count
     per range is summed up over ranges; that table has one row per ``block`` input rows. The
     counts are joined back on the partitioning that the sort already has: one shuffle in all.
+
+    Where values of ``seq`` lie far apart, as hashes do, a range holds hardly a row, and the counts are as
+    many as the rows. With ``dense`` off they are summed up over three levels of ``block`` ranges each, so that
+    no task sorts more than ``block`` counts whatever the 64-bit values are.
     """
     ranged = df.withColumn("_range", F.floor(F.col(seq) / F.lit(block)))
     place = [*groups, "_range"]
     in_group = Window.partitionBy(*groups).orderBy("_range")
     before = ranged.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
-    before = before.withColumn("_before", F.sum("_n").over(in_group) - F.col("_n"))
-    added = ["_before"]
-    if total:
-        overall = Window.orderBy(*place)
-        before = before.withColumn("_base", F.sum("_n").over(overall) - F.col("_n"))
-        added.append("_base")
+    added = ["_before", "_base"] if total else ["_before"]
+    if dense:
+        before = before.withColumn("_before", F.sum("_n").over(in_group) - F.col("_n"))
+        if total:
+            overall = Window.orderBy(*place)
+            before = before.withColumn("_base", F.sum("_n").over(overall) - F.col("_n"))
+    else:
+        before = _summed_by_levels(before, groups, block)
+        if total:
+            sizes = before.groupBy(*groups).agg(F.sum("_n").alias("_size"))
+            overall = Window.orderBy(*groups)
+            sizes = sizes.withColumn("_base", F.sum("_size").over(overall) - F.col("_size")).drop("_size")
+            before = before.join(sizes, groups).withColumn("_base", F.col("_base") + F.col("_before"))
     order = Window.partitionBy(*place).orderBy(seq, *(ties or []))
     numbered = ranged.withColumn("_in_range", F.row_number().over(order)).join(
         before.select(*place, *added), place
@@ -52,6 +65,31 @@ def number_rows(
     return numbered.select(*result)
 
 
+def _summed_by_levels(counts: DataFrame, groups: list[str], block: int) -> DataFrame:
+    """Adds ``_before``, the sum of ``_n`` over the earlier ranges of the group.
+
+    Ranges are put together by ``block``, these again, and the sums of each level are taken within the
+    next one only.
+    """
+    levels = [written(counts, "range-counts")]
+    for k in (1, 2):
+        finer = "_range" if k == 1 else f"_level_{k - 1}"
+        coarse = F.floor(F.col(finer) / F.lit(block)).alias(f"_level_{k}")
+        levels[-1] = levels[-1].select("*", coarse)
+        levels.append(levels[-1].groupBy(*groups, f"_level_{k}").agg(F.sum("_n").alias("_n")))
+    found = None
+    for k in (2, 1, 0):
+        at = f"_level_{k}" if k else "_range"
+        within = [*groups, f"_level_{k + 1}"] if k < 2 else groups
+        running = Window.partitionBy(*within).orderBy(at)
+        level = levels[k].withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
+        if found is not None:
+            level = level.join(found.select(*within, F.col("_before").alias("_earlier")), within)
+            level = level.withColumn("_before", F.col("_before") + F.col("_earlier")).drop("_earlier")
+        found = level
+    return found.select(*counts.columns, "_before")
+
+
 def assign_ids(
     rows: DataFrame,
     sizes: DataFrame,

@@ -276,6 +276,9 @@ _QUERIES = {
     "standardize_full": "SELECT * FROM stage",
     "assign_ids": """SELECT batch_id, _source_file, _row_num,
       row_number() OVER (ORDER BY _source_file, _row_num) AS stage_id FROM raw""",
+    "sparse_numbers": """SELECT *, row_number() OVER (PARTITION BY _source_file ORDER BY seq) AS place,
+        row_number() OVER (ORDER BY _source_file, seq) AS place_in_all
+      FROM (SELECT batch_id, _source_file, _row_num, _row_num * 7919 % 1000003 * 1000000007 - _row_num AS seq FROM raw) x""",
     "path_prune": """SELECT p.stage_id, p.is_valid, p.intci_main_name,
       g.intci_main_name AS before FROM pathed p JOIN stage g ON g.stage_id = p.stage_id""",
     "dedup_flag": f"""SELECT stage_id, batch_id, patent_id, is_valid, invalid_reason

@@ -130,6 +130,14 @@ def assign_ids(spark, sf_dir):
     return ids.assign_ids(numbered, sizes, ["_source_file", "batch_id"])
 
 
+@query
+def sparse_numbers(spark, sf_dir):
+    """Rows numbered in the order of numbers that lie far apart, in their file and over all files."""
+    rows = raw(spark, sf_dir).select("batch_id", "_source_file", "_row_num")
+    rows = rows.withColumn("seq", F.expr("_row_num * 7919 % 1000003 * 1000000007 - _row_num"))
+    return ids.number_rows(rows, ["_source_file"], "seq", "place", total="place_in_all", dense=False)
+
+
 @query
 def path_prune(spark, sf_dir):
     rows = stage(spark, sf_dir).select(

@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -219,3 +220,16 @@ def test_open_work_order_and_limit(spark):
     done = log.limit(0).withColumn("stage_table", F.lit("s"))
     work = worklist.open_work(log, done, "o", "s", limit=2).collect()
     assert [r.file_name for r in work] == ["f1", "f2"]
+
+
+@pytest.mark.parametrize("block", [2, 7, 1 << 16])
+def test_numbers_of_sparse_values(spark, block):
+    rng = random.Random(block)
+    values = [rng.randrange(-(2**52), 2**52) for _ in range(150)] + list(range(40)) + [2**60, -(2**60)]
+    rows = [(g, v) for g in "ab" for v in rng.sample(values, 120)]
+    df = spark.createDataFrame(rows, "g string, v bigint")
+    found = ids.number_rows(df, ["g"], "v", "place", total="all", start=10, block=block, dense=False)
+    expected = []
+    for k, (g, v) in enumerate(sorted(rows)):
+        expected.append((g, v, k % 120 + 1, k + 11))
+    assert sorted(tuple(r) for r in found.select("g", "v", "place", "all").collect()) == expected
