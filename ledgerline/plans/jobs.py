@@ -185,7 +185,7 @@ def _log_run(
     times = (params.run_ts, params.run_ts)
     entry = (job, params.batch_id, target, status, version, last_key or 0, scanned, updated, inserted, *times)
     row = tables.spark.createDataFrame([entry], schemas.RUN_LOG)
-    tables.upsert(row, params.run_log, schemas.RUN_LOG, schemas.RUN_LOG_KEY)
+    tables.upsert(row, params.run_log, schemas.RUN_LOG, schemas.RUN_LOG_KEY, touched={params.batch_id})
 
 
 def _batch(tables: Tables, params: Params, name: str, schema) -> DataFrame:

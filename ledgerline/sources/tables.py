@@ -207,10 +207,12 @@ class Tables:
 
     def upsert(
         self, df: DataFrame, name: str, schema: T.StructType, keys: list[str],
-        by: str = "batch_id",
+        by: str = "batch_id", touched: set | None = None,
     ) -> None:
-        """Insert or update rows of a control table by key; only touched partitions change."""
-        touched = {r[0] for r in df.select(by).distinct().toLocalIterator()}
+        """Insert or update rows of a control table by key; only touched partitions change.
+        ``touched`` are their values, if they are known."""
+        if touched is None:
+            touched = {r[0] for r in df.select(by).distinct().toLocalIterator()}
         existing = self.read(name, schema, only=lambda value: value in touched)
         self.replace_partitions(upsert_rows(existing, df, keys), name, by)
 
