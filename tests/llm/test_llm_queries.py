@@ -1,8 +1,7 @@
-"""Registered queries against their SQL forms, and the stages of the pipeline."""
+"""Registered queries against their SQL forms."""
 
 import pytest
 
-import corpus_pipeline
 from compare import compare, connect
 from ledgerline.llm.queries import ORACLE, QUERIES
 
@@ -24,19 +23,3 @@ def test_rows(spark, small_dir, key):
     if key in NATIVE:
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
-
-
-def test_pipeline(spark, small_dir):
-    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
-    before = docs
-    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        after = stage(spark, before, small_dir)
-        ids = {r[0] for r in before.select("doc_id").collect()}
-        rows = after.select("doc_id").collect()
-        assert {r[0] for r in rows} <= ids
-        if k < 4:
-            assert after.columns == docs.columns
-        if k >= 3:
-            assert len(rows) == len(ids)
-        before = corpus_pipeline.written(after, "test-stage") if k < 4 else after
-    assert sorted(map(str, before.collect())) == sorted(map(str, corpus_pipeline.run(spark, small_dir).collect()))

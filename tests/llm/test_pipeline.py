@@ -64,6 +64,7 @@ def test_whole_run(spark, small_dir):
     got = check(spark, docs, small_dir, items)
     run = [tuple(r) for r in corpus_pipeline.run(spark, small_dir).collect()]
     assert sorted(map(repr, run)) == sorted(map(repr, got)) and 0 < len(run) < docs.count()
+    assert {r[0] for r in run} <= {r[0] for r in docs.select("doc_id").collect()}
 
 
 def test_odd_rows(spark, tmp_path):
