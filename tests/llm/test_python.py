@@ -160,6 +160,33 @@ def test_shards_keep_links(frame):
     assert together > 0.9 * 400
 
 
+@pytest.mark.parametrize("hot_rows", [1, 100, 100_000])
+def test_shards_of_large_groups(frame, hot_rows):
+    """Groups of 50 and 150 rows stand together, one of 400 in two parts, as a shard has 250."""
+    sizes = [50] * 16 + [150] * 8 + [400]
+    rows = [(i, f"group {g}") for g, size in enumerate(sizes) for i in range(size)]
+    rows += [(5, "the same row")] * 300 + [(i, f"own {i}") for i in range(1100)]
+    found = sharding.balanced_shards(frame(rows), hot_rows=hot_rows).collect()
+    groups, shards = defaultdict(Counter), Counter(r["shard"] for r in found)
+    assert len(found) == len(rows) and max(shards.values()) - min(shards.values()) <= 1
+    for r in found:
+        groups[r["text_crc32"]][r["shard"]] += 1
+    pairs = lambda c: sum(n * (n - 1) for n in c.values()) / (c.total() * (c.total() - 1))
+    kept = defaultdict(list)
+    for c in groups.values():
+        if c.total() > 1:
+            kept[c.total()].append(pairs(c))
+    assert {n: len(x) for n, x in kept.items()} == {50: 16, 150: 8, 400: 1, 300: 1}
+    assert all(min(kept[n]) == 1 for n in (50, 150)) and min(kept[400]) > 0.45 and min(kept[300]) > 0.45
+
+
+def test_shards_where_all_are_linked(frame):
+    """No row is free to even the shards; pairs are cut at most where a shard is full."""
+    found = sharding.balanced_shards(frame([(i, f"pair {i // 2}") for i in range(1601)]))
+    assert sharding.kept_links(found) > 0.95
+    assert sharding.kept_links(found, "doc_id") == 1
+
+
 def test_pieces(spark, frame):
     import sentencepiece
 
