@@ -1,7 +1,10 @@
 """Decontamination, license scan and quality rules against plain Python."""
 
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -124,6 +127,64 @@ def test_licenses_of_a_long_notices_file(frame):
     assert found["score"] == 1.0
 
 
+def by_hand(texts):
+    """Labels and score of each text from the definitions: rarest words of each template by document
+    frequency, their weight at one shift, phrases at the same shift."""
+    split = [alnum(text) for text in texts]
+    index = licenses.Index()
+    number = Counter(w for words in split for w in set(words))
+    idf = {w: 1 + round(licenses.WEIGHT * math.log((1 + len(texts)) / (1 + number[w]))) for w in index.vocabulary}
+    for words in split:
+        labels, best = set(), 0.0
+        for phrase, label in licenses.BASE:
+            p = phrase.split()
+            if any(words[i : i + len(p)] == p for i in range(len(words))):
+                labels.add(label)
+                best = 0.5
+        for label, template, phrases in licenses.TEMPLATES:
+            own = template.split()
+            rare = sorted(set(own), key=lambda w: (-idf[w], w))[: min(licenses.ANCHORS, (len(set(own)) + 1) // 2)]
+            total = sum(idf[w] for w in own if w in rare)
+            for shift in range(-len(own), len(words)):
+                at = [(w, shift + i) for i, w in enumerate(own) if w in rare and 0 <= shift + i < len(words)]
+                weight = sum(idf[w] for w, i in at if words[i] == w)
+                if 2 * weight < total:
+                    continue
+                starts = [(p.split(), shift + place(own, p.split())) for p in phrases]
+                if all(i >= 0 and words[i : i + len(p)] == p for p, i in starts):
+                    labels.add(label)
+                    best = max(best, weight / total)
+        yield ",".join(sorted(labels)), min(best, 1.0)
+
+
+def place(words, phrase):
+    return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
+
+
+def test_license_labels_against_plain_python(frame):
+    chance = random.Random(5)
+    full = [text for _, text, _ in licenses.TEMPLATES]
+    texts = [text for _, text in LICENSED] + full + [
+        "The Eclipse Public License", "SPDX-License-Identifier: Apache-2.0", "the MIT Licence", "mit",
+        "Mozilla Public License, v. 2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "-" * 50, "rights reserved",
+    ]
+    for _ in range(300):  # words left out, put in and changed, parts of templates side by side
+        words = " ".join(chance.sample(full, 2)).split()
+        for _ in range(chance.randrange(8)):
+            i = chance.randrange(len(words))
+            words[i : i + chance.randrange(2)] = chance.choice([[], ["software"], ["license"], ["of", "the"]])
+        begin = chance.randrange(6)
+        texts.append(" ".join(words[begin : begin + chance.randrange(60)]).title())
+    rows = list(enumerate(texts))
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(frame(rows)).collect()}
+    assert [found[i] for i, _ in rows] == list(by_hand(texts))
+    twice = licenses.scan(frame([(1, text) for text in texts * 2])).collect()
+    assert Counter((r["labels"], r["score"] > 0) for r in twice) == Counter((a, b > 0) for a, b in by_hand(texts * 2))
+    named = {text: found[i][0] for i, text in rows}
+    assert named["The Eclipse Public License"] == "epl" and named["the MIT Licence"] == "mit"
+    assert named["SPDX-License-Identifier: Apache-2.0"] == "apache" and named["rights reserved"] == ""
+
+
 PROSE = "several ordinary words make this line long enough to be kept by all the rules"
 GRADED = [
     (1, PROSE),
