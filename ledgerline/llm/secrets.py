@@ -12,6 +12,10 @@ too. A layer beyond ``limit`` bytes, or one whose dictionary is beyond ``MAX_DIC
 unpacked further; it is reported as a span of kind ``oversize``. A stream that breaks off or is
 damaged is unpacked up to there and reported as ``broken``. So none is passed over in silence.
 
+Escapes are unwrapped step by step, each step a layer, ``STEPS`` times in a row; what is nested deeper
+(``%252525...41``) is then unwrapped to its end in one layer, in time that grows with the text and
+not with its square. No escape is left; only the layers between are not scanned by themselves.
+
 Null and empty texts have no spans. Repeated rows and null ids each give a row; an empty table
 gives an empty result. Only the named columns are read, so other columns may have any name.
 """
@@ -37,6 +41,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .batches import bounded
 from .words import column, whole
 
+STEPS = 8
 MAX_LAYER = 64 << 20
 MAX_DICTIONARY = 128 << 20
 KINDS = ("assign", "access", "hex", "oversize", "broken")
@@ -62,6 +67,10 @@ BREAK = r"(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>]*)"
 RUN = "[A-Za-z0-9+/_-]"  # possessive, from its first character: linear in long runs
 WRAPPED = re.compile(rf"(?<!{RUN}){RUN}{{16,}}+(?:{BREAK}{RUN}++)+={{0,2}}")
 BREAKS = re.compile(BREAK)
+# An escape at the end of what is decoded so far; only such characters end one.
+LAST_ESCAPE = re.compile(rf"%([0-9A-Fa-f]{{2}})\Z|(?:{UNICODE_ESCAPE.pattern})\Z")
+LAST = frozenset("0123456789abcdefABCDEF};")
+LONGEST_ESCAPE = 11
 ONE_BYTE = re.compile("%[0-9A-Fa-f]{2}|.", re.DOTALL)
 # From twelve characters before the first escape: magic bytes may be written as they are.
 URL_BYTES = re.compile(r"[!-$&-~]{0,12}%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2}|[!-$&-~])*")
@@ -74,21 +83,26 @@ ANY_MAGIC = re.compile(STRONG + rb"|x[\x01\x5e\x9c\xda]")
 STRETCH = re.compile("[^\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\ud800-\udfff]{16,}")
 
 
+PLACE = np.int32  # a text has less than 2 ** 31 characters
+
+
 def _digest(raw: bytes, *places: np.ndarray | None) -> bytes:
     state = hashlib.sha256(raw)
     for x in places:
         if x is not None and len(x):  # one value for all, without its copies
-            state.update(np.ascontiguousarray(x[:1] if x.strides == (0,) else x, np.int64))
+            state.update(np.ascontiguousarray(x[:1] if x.strides == (0,) else x, PLACE))
     return state.digest()
 
 
 @dataclass
 class Layer:
-    """Text with the span of the first text behind each character; None: its own places."""
+    """Text with the span of the first text behind each character (None: its own places), and how
+    many steps of unescaping in a row it comes from."""
 
     text: str
     starts: np.ndarray | None = None
     ends: np.ndarray | None = None
+    steps: int = 0
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
@@ -117,25 +131,59 @@ def _replaced(layer: Layer, found: list[tuple[int, int, str]]) -> Layer:
     """The layer with spans replaced; each new character comes from its whole span."""
     parts, starts, ends, at = [], [], [], 0
     n = len(layer.text)
-    own = np.arange(n) if layer.starts is None else layer.starts
-    own_ends = np.arange(1, n + 1) if layer.ends is None else layer.ends
+    own = np.arange(n, dtype=PLACE) if layer.starts is None else layer.starts
+    own_ends = np.arange(1, n + 1, dtype=PLACE) if layer.ends is None else layer.ends
     for start, end, new in found:
         first, last = layer.span(start, end)
         parts += [layer.text[at:start], new]
-        starts += [own[at:start], np.full(len(new), first)]
-        ends += [own_ends[at:start], np.full(len(new), last)]
+        starts += [own[at:start], np.full(len(new), first, PLACE)]
+        ends += [own_ends[at:start], np.full(len(new), last, PLACE)]
         at = end
     parts.append(layer.text[at:])
-    return Layer("".join(parts), np.concatenate([*starts, own[at:]]), np.concatenate([*ends, own_ends[at:]]))
+    places = np.concatenate([*starts, own[at:]]), np.concatenate([*ends, own_ends[at:]])
+    return Layer("".join(parts), *places, layer.steps + 1)
 
 
-def _character(m: re.Match) -> str | None:
-    *hexes, decimal = m.groups()
+def _character(m: re.Match, group: int = 1) -> str | None:
+    *hexes, decimal = m.groups()[group - 1 :]
     code = int(decimal) if decimal else int(next(x for x in hexes if x), 16)
     return None if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
 
 
+def _unwrapped(layer: Layer) -> Layer | None:
+    """The layer with nested escapes of ASCII characters unwrapped to their end; None if it has none.
+
+    No two escapes overlap, so each is replaced as soon as its last character is there, and what
+    comes out may end the next. Others than ASCII are part of no escape and are left to a step.
+    """
+    begin = min((i for i in map(layer.text.find, "%\\&") if i >= 0), default=len(layer.text))
+    chars, firsts, lasts = list(layer.text[:begin]), list(range(begin)), list(range(1, begin + 1))
+    for i, c in enumerate(layer.text[begin:], begin):
+        chars.append(c)
+        firsts.append(i)
+        lasts.append(i + 1)
+        while chars[-1] in LAST and (m := LAST_ESCAPE.search("".join(chars[-LONGEST_ESCAPE:]))):
+            new = chr(int(m[1], 16)) if m[1] else _character(m, 2)
+            if new is None or new > "\x7f":
+                break
+            size = len(m[0])
+            first = firsts[-size]
+            del chars[-size:], firsts[-size:], lasts[-size:]
+            chars.append(new)
+            firsts.append(first)
+            lasts.append(i + 1)
+    if len(chars) == len(layer.text):
+        return None
+    first, last = np.array(firsts, PLACE), np.array(lasts, PLACE)
+    if layer.starts is not None:  # places never fall along a layer
+        first, last = layer.starts[first], layer.ends[last - 1]
+    return Layer("".join(chars), first, last, layer.steps)
+
+
 def _unescaped(layer: Layer) -> Iterator[Layer]:
+    if layer.steps >= STEPS and (inner := _unwrapped(layer)):
+        yield inner
+        return
     if "%" in layer.text:
         found = []
         for m in URL_ESCAPE.finditer(layer.text):
@@ -283,7 +331,7 @@ def _dug(blob: Blob, limit: int) -> Iterator[Layer | tuple[str, int, int]]:
             first, last = int(blob.starts[at : at + size].min()), int(blob.ends[at : at + size].max())
             yield "ended" if ended else "broken", first, last
             if out:
-                work.append(Blob(out, *(np.broadcast_to(np.int64(x), len(out)) for x in (first, last))))
+                work.append(Blob(out, *(np.broadcast_to(PLACE(x), len(out)) for x in (first, last))))
             at += size
         magic = STRONG_MAGIC
 

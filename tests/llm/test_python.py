@@ -5,7 +5,9 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from urllib.parse import quote
@@ -122,6 +124,42 @@ def test_repeated_payloads():
     assert sum(p < len(nested) for p in places) == 2 and sum(p > len(nested) for p in places) == 2
 
 
+@pytest.mark.parametrize("one", ["%25", "\\u005c", "\\x5C", "&#38;", "%5Cx25"])
+def test_deeply_nested_escapes(one):
+    """As many layers as the text is long; the last one holds the secret."""
+    inner = {"%25": "%41", "\\u005c": "\\x41", "\\x5C": "\\x41", "&#38;": "&#65;", "%5Cx25": "%41"}[one]
+    text = f"see {one + one[1:] * 50_000 + inner[1:]}KIAABCDEFGHIJKLMNOP and more"
+    begin = time.perf_counter()
+    found = secrets.scan(text)[1]
+    assert time.perf_counter() - begin < 10
+    assert any(kind == "access" and a == 4 and b == len(text) - 9 for kind, a, b in found)
+
+
+def test_random_nestings():
+    """A secret below encodings of any kind and order is found; its span lies in what stands for it."""
+    chance = random.Random(3)
+    to_64 = lambda raw: base64.b64encode(raw).decode()
+    wraps = [
+        lambda t: "".join(f"%{b:02X}" for b in t.encode()),
+        lambda t: quote(t, safe=""),
+        lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+        lambda t: "".join(f"&#{ord(c)};" for c in t),
+        lambda t: t.replace("%", "%25").replace("\\", "\\x5C").replace("=", "%3D"),
+        lambda t: to_64(t.encode()),
+        lambda t: to_64(gzip.compress(t.encode())),
+        lambda t: to_64(zlib.compress(t.encode())),
+    ]
+    for _ in range(150):
+        secret, depth = "password=" + "".join(chance.choices("GHJKLMNPQ", k=16)), chance.randrange(1, 14)
+        for _ in range(depth):
+            if len(secret) < 50_000:
+                secret = chance.choice(wraps)(secret)
+        before = chance.choice(["", "some words: ", "100% of (", "\n\n"])
+        found = secrets.scan(f"{before}{secret} end")[1]
+        ends = len(before), len(before) + len(secret)
+        assert any(kind == "assign" and ends[0] <= a < b <= ends[1] for kind, a, b in found), secret[:500]
+
+
 def test_secret_tables(frame):
     docs = frame([(1, KEY + " end"), (2, None), (None, ""), (1, KEY + " end")])
     rows = secrets.find(docs).collect()
