@@ -198,6 +198,10 @@ GRADED = [
     (None, PROSE),
     (1, PROSE),
     (9, "a b c d e f a b c d e f g h a b c d"),
+    (10, "\n".join(f"line {w} ends so{'...' if k < 4 else '…' if k < 6 else '.'} " for k, w in enumerate(PROSE.split()))),
+    (11, "\n".join(f" - line of {w}" for w in PROSE.split())),
+    (12, "- one line\n* " + PROSE + " ...\n\n•no bullet"),
+    (13, "\n".join(f"{'-' if k else ''} line of {w}" for k, w in enumerate(PROSE.split()[:9]))),
 ]
 
 
@@ -220,7 +224,17 @@ def test_quality_rules(frame):
     docs = frame(GRADED)
     left = quality_rules.keep(docs)
     assert left.columns == docs.columns
-    assert sorted((r["doc_id"] for r in left.collect()), key=str) == kept == [1, 1, 7, 8, None]
+    assert sorted((r["doc_id"] for r in left.collect()), key=str) == kept == [1, 1, 12, 13, 7, 8, None]
+
+
+def test_order_of_rules(frame):
+    """A rule that rejects all that another one rejects leaves nothing to that one."""
+    rules = quality_rules.RULES
+    by_name = {r.name: r for r in rules}
+    rows = quality_rules.prepared(frame([(i, "too short") for i in range(60)] + [(99, PROSE)]))
+    order = quality_rules.ranked(rows, (by_name["repeated_words"], by_name["few_words"], by_name["symbols"]))
+    assert order[0].name == "few_words" and len(order) == 3
+    assert set(quality_rules.order_rules(frame([(1, "x" * 100_000), (2, None)]))) == set(rules)
 
 
 def test_order_does_not_decide(frame):

@@ -18,10 +18,14 @@ def rejected(text):
     repeated = {i + j for i in range(n - 4) for j in range(5) if grams[tuple(words[i : i + 5])] > 1}
     lines = [x for x in (text or "").split("\n") if spaced(x)]
     chars = sum(map(len, words))
+    blank = " \t\x0b\x0c\r"
+    dots = sum(x.rstrip(blank).endswith(("...", "…")) for x in lines)
+    bullets = sum(x.lstrip(blank)[:1] in "-*•" and x.lstrip(blank)[1:2] in (" ", "\t") for x in lines)
     return (
         n < 10 or 100 * len(repeated) > 20 * n
         or 10 * sum((text or "").count(c) for c in "#*$%&|<>") > 3 * n
         or 10 * (len(lines) - len(set(lines))) > 3 * len(lines) or not 2 * n <= chars <= 20 * n
+        or len(lines) >= 5 and (10 * dots > 3 * len(lines) or 10 * bullets > 9 * len(lines))
     )
 
 
