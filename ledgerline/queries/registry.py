@@ -13,7 +13,7 @@ from ..operators import audit, dedup, ids, upsert, worklist
 from ..plans import clean as rules, finalize, split
 from ..plans.ingest import ingest
 from ..plans.jobs import run_steps
-from ..sources.csv_files import read_csv, write_csv
+from ..sources.csv_files import any_charset, read_csv, write_csv
 from ..sources.scratch import scratch_folder, written
 from ..sources.tables import Tables
 from . import inputs
@@ -503,6 +503,20 @@ def odd_files(spark, sf_dir):
     return tables.read(PARAMS.ods_table, schemas.ODS).select(*schemas.RAW_COLUMNS, "_source_file", "_row_num")
 
 
+@query
+def encoded_files(spark, sf_dir):
+    """The files of ``odd_files`` in another encoding, which is tried behind UTF-8."""
+    root = scratch_folder(spark, "encoded")
+    rows = _odd_rows(spark, sf_dir)
+    text = F.when(F.col("k") % 7 == 0, F.concat(_record_text(), F.lit("\n"))).otherwise(_record_text())
+    with any_charset(spark):
+        rows = rows.select("file", "k", F.encode(text, "GB18030").cast("string").alias("text"))
+    _csv_folder(spark, rows, f"{root}/csv")
+    tables = Tables(spark, f"{root}/tables")
+    ingest(tables, PARAMS, f"{root}/csv", "full", encodings=("UTF-8", "GB18030"))
+    return tables.read(PARAMS.ods_table, schemas.ODS).select(*schemas.RAW_COLUMNS, "_source_file", "_row_num")
+
+
 @query
 def bad_files(spark, sf_dir):
     """The log of files of which some have a quote that is never closed, characters of another encoding,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import fnmatch
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -130,6 +132,12 @@ class Loaded(NamedTuple):
     bad_files: dict[str, str]
 
 
+# Charsets (by their canonical names) that have the byte of a line feed in no other character, so files
+# can be cut at line feeds before they are decoded.
+CUT_AT_LINES = re.compile("UTF-8$|US-ASCII$|ISO-8859-|windows-|GB|Big5|EUC-|Shift_JIS|KOI8")
+# Without these, few charsets are at hand and undecodable characters end the job; they hold for an
+# expression from when it is analysed on.
+_ANY_CHARSET = {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true"}
 UNDECODABLE = "lines that are not valid in"
 UNCLOSED = "a quote is never closed"
 _PLACE = ["_source_file", "_block"]
@@ -140,13 +148,13 @@ def read_files(
 ) -> Loaded:
     """Records of files, numbered from 1 in each file behind its header.
 
-    Files of UTF-8 are read in splits of any size, also where records span lines; files of other
-    encodings are read one per task. A file with undecodable characters or with a quote that is
-    still open at its end is bad as a whole.
+    Files are read in splits of any size, also where records span lines; only files of encodings
+    that cannot be cut at line feeds, such as UTF-16, are read one per task, without their empty lines.
+    A file with undecodable characters or with a quote that is still open at its end is bad as a whole.
     """
     paths, names = _readable(spark, list(sizes))
-    if encoding.upper().replace("-", "") == "UTF8":
-        loaded = _read_split(spark, sorted(set(paths.values())), **options)
+    if CUT_AT_LINES.match(spark._jvm.java.nio.charset.Charset.forName(encoding).name()):
+        loaded = _read_split(spark, sorted(set(paths.values())), encoding, **options)
     else:
         rows = with_row_numbers(read_csv(spark, sorted(set(paths.values())), encoding=encoding, **options))
         damaged = damaged_files(rows, encoding)
@@ -161,8 +169,36 @@ def read_files(
     return Loaded(loaded.rows.withColumn("_source_file", own), bad)
 
 
+@contextmanager
+def any_charset(spark: SparkSession) -> Iterator[None]:
+    """Plans that are made within may use every charset of the JVM; the session's settings stay."""
+    before = {key: spark.conf.get(key, None) for key in _ANY_CHARSET}
+    try:
+        for key, value in _ANY_CHARSET.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _decoded_lines(lines: DataFrame, encoding: str) -> DataFrame:
+    """``lines`` with their ``value`` as text and whether it has characters that cannot be read."""
+    spark = lines.sparkSession
+    place = [F.col("_metadata"), F.monotonically_increasing_id().alias("_place")]
+    if spark._jvm.java.nio.charset.Charset.forName(encoding).name() == "UTF-8":
+        return lines.select(*place, "value", (~F.is_valid_utf8("value")).alias("_undecodable"))
+    with any_charset(spark):
+        text = lines.select(*place, F.decode(F.col("value").cast("binary"), encoding).alias("value"))
+    return text.withColumn("_undecodable", F.contains("value", F.lit("\ufffd")))
+
+
 def _read_split(
-    spark: SparkSession, paths: list[str], *, null_text: bool = False, strip_return: bool = True
+    spark: SparkSession, paths: list[str], encoding: str = "UTF-8", *,
+    null_text: bool = False, strip_return: bool = True,
 ) -> Loaded:
     """One scan stores the lines with their places; all else is taken from there.
 
@@ -173,13 +209,13 @@ def _read_split(
     value = F.col("value")
     quoted = F.contains(value, F.lit('"'))
     stored = written(
-        lines.select(
+        _decoded_lines(lines, encoding).select(
             _decoded(F.col("_metadata.file_name")).alias("_source_file"),
             F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_place"),
+            "_place",
             "value",
             F.when(quoted, ~value.rlike(CLOSED_LINE)).otherwise(False).cast("int").alias("_from_0"),
-            (~F.is_valid_utf8(value)).alias("_undecodable"),
+            "_undecodable",
         ),
         "csv-lines",
     )
@@ -192,7 +228,7 @@ def _read_split(
     )
     of_files = blocks.groupBy("_source_file").agg(F.max("_open").alias("_spans"), F.sum("_bad").alias("_bad"))
     bad = {
-        r[0]: f"{r[1]} {UNDECODABLE} UTF-8"
+        r[0]: f"{r[1]} {UNDECODABLE} {encoding}"
         for r in of_files.where("_bad > 0").select("_source_file", "_bad").toLocalIterator()
     }
     good = blocks.drop("_bad").join(of_files.where("_bad = 0").drop("_bad"), "_source_file")

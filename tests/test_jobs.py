@@ -275,6 +275,40 @@ def test_records_over_lines_at_any_split_size(spark, tables, params, tmp_path, s
     ]
 
 
+@pytest.mark.parametrize("size", ["128m", "512b"])
+def test_other_encodings_are_read_as_utf_8_is(spark, tmp_path, size):
+    rows = [*SPANS, line("P9", title='"专利\n\n, ""利"""'), "", "专,利"]
+    sizes = {}
+    for encoding in ("UTF-8", "gb18030", "Big5"):
+        os.makedirs(tmp_path / encoding)
+        path = tmp_path / encoding / "x.csv"
+        # A character of two bytes, the second of which is a backslash in Big5.
+        body = "\n".join([HEADER, *rows, "功", ""]).replace("授权", "中").replace("专利", "文").replace("专", "文")
+        path.write_bytes(body.encode(encoding))
+        sizes[encoding] = {str(path): path.stat().st_size}
+    bytes_key, charsets_key = "spark.sql.files.maxPartitionBytes", "spark.sql.legacy.javaCharsets"
+    old, charsets = spark.conf.get(bytes_key), spark.conf.get(charsets_key, None)
+    spark.conf.set(bytes_key, size)
+    try:
+        found = {e: csv_files.read_files(spark, s, e) for e, s in sizes.items()}
+        assert spark.conf.get(charsets_key, None) == charsets
+        rows_of = {e: sorted(map(str, x.rows.collect())) for e, x in found.items()}
+        ascii_only = csv_files.read_files(spark, sizes["Big5"], "US-ASCII").bad_files
+    finally:
+        spark.conf.set(bytes_key, old)
+    assert len(rows_of["UTF-8"]) == 15 and all(x.bad_files == {} for x in found.values())
+    assert all(x == rows_of["UTF-8"] for x in rows_of.values())
+    assert ascii_only["x.csv"].endswith("lines that are not valid in US-ASCII")
+
+
+def test_utf_16_is_read_by_whole_files(spark, tmp_path):
+    path = tmp_path / "w.csv"
+    path.write_bytes("\n".join([HEADER, line("P1", title='"专\n利"'), line("P2")]).encode("utf-16"))
+    found = csv_files.read_files(spark, {str(path): path.stat().st_size}, "UTF-16")
+    assert ids_of(found.rows, "_row_num", "id", "title") == [(1, "P1", "专\n利"), (2, "P2", "t")]
+    assert found.bad_files == {}
+
+
 def test_bad_files_fail_and_are_listed(spark, tables, params, tmp_path):
     folder = str(tmp_path / "csv")
     put(folder, "good.csv", line("P1"), "a,b")
