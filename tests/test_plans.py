@@ -58,3 +58,17 @@ def test_duplicates_join(spark, small_dir, small, kind):
         assert re.search(r"SortMergeJoin \[batch_id#\d+, collationkey\(_key#\d+\), _place", plan)
     else:
         assert "SortMergeJoin [batch_id" not in plan
+
+
+@pytest.mark.parametrize("key", ["standardize_full", "clean_full", "split_valid", "final_valid"])
+def test_generated_methods_are_compiled(spark, small_dir, key):
+    """The JVM runs methods of more than 8,000 bytes of code interpreted."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = QUERIES[key](spark, small_dir)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        code = df._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall("maxMethodCodeSize:([0-9]+)", code)]
+    assert sizes and max(sizes) <= 8000
