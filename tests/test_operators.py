@@ -175,6 +175,27 @@ def test_insert_ignore_and_upsert_columns(spark):
             .collect()] == [(1, None), (2, "b")]
 
 
+def test_insert_ignore_joins_keys_only(spark):
+    """Wide rows are not shuffled where few or no keys are there already, whatever the size of the tables."""
+    old = spark.range(0, 1000, 2).select("id", F.lit("old").alias("v"))
+    none, some = spark.range(5000, 6000), spark.range(900, 1100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for new, left in ((none, 1000), (some, 150)):
+            added = upsert.insert_ignore(new.select("id", F.lit("new").alias("v")), old, "id")
+            assert "Exchange hashpartitioning" not in added._jdf.queryExecution().executedPlan().toString()
+            assert added.count() == left
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_insert_ignore_with_many_known_keys(spark, monkeypatch):
+    monkeypatch.setattr(upsert, "fits_broadcast", lambda df: False)
+    old = spark.createDataFrame([(1,), (1,), (None,)], "id long")
+    new = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "id long, v string")
+    assert sorted(r.v for r in upsert.insert_ignore(new, old, "id").collect()) == ["c", "d"]
+
+
 def test_upsert_rows(spark):
     t = datetime.datetime
     kind = "k string, v string, created_at timestamp, updated_at timestamp"
