@@ -72,3 +72,15 @@ def test_generated_methods_are_compiled(spark, small_dir, key):
         spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = [int(n) for n in re.findall("maxMethodCodeSize:([0-9]+)", code)]
     assert sizes and max(sizes) <= 8000
+
+
+def test_file_log_comes_from_stored_rows(spark, small_dir, tmp_path, monkeypatch):
+    """The raw view is made once for a batch, not a second time to count the rows of its files."""
+    from ledgerline.queries import registry
+    from ledgerline.queries.inputs import PARAMS
+    from ledgerline.sources.tables import Tables
+
+    plans = []
+    monkeypatch.setattr(Tables, "upsert", lambda self, df, *rest: plans.append(plan_of(df)))
+    registry._ods(spark, small_dir, Tables(spark, str(tmp_path)), PARAMS, "batch_1")
+    assert len(plans) == 1 and "orders.parquet" not in plans[0] and "Window" not in plans[0]
