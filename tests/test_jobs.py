@@ -1,6 +1,6 @@
 import os
 from dataclasses import replace
-from datetime import timedelta
+from datetime import datetime, timedelta
 from types import SimpleNamespace
 
 import pytest
@@ -222,6 +222,30 @@ def test_failed_file_list(spark, tables, tmp_path):
     assert not (tmp_path / "none").exists()
 
 
+def test_files_are_not_searched_for_every_file(spark, tables, params, monkeypatch):
+    """Files that need the second encoding are told apart by name, not by a list of all of them."""
+    from pyspark.sql import Row
+
+    compared = []
+
+    def equal(self, other):
+        compared.append(1)
+        return tuple.__eq__(self, other)
+
+    def undecodable(spark, sizes, encoding):
+        return ingest_module.Loaded(None, {os.path.basename(p): f"1 {ingest_module.UNDECODABLE} {encoding}" for p in sizes})
+
+    names = [(f"/in/f{n}.csv", f"f{n}.csv", 1, datetime(2024, 1, 1)) for n in range(500)]
+    files = spark.createDataFrame(names, "file_path string, file_name string, file_size long, file_mtime timestamp")
+    monkeypatch.setattr(ingest_module, "read_files", undecodable)
+    monkeypatch.setattr(Row, "__eq__", equal, raising=False)
+    ingest(tables, params, "/in", files=files, encodings=("UTF-8", "GB18030"))
+    monkeypatch.undo()
+    assert len(compared) < 5000
+    log = tables.read(params.file_log, schemas.FILE_LOG)
+    assert {r.status for r in log.collect()} == {"FAILED"} and log.count() == 500
+
+
 def test_second_encoding(spark, tables, params, tmp_path):
     folder = str(tmp_path / "csv")
     put(folder, "u.csv", line("P1", title="专利"))
