@@ -246,6 +246,25 @@ def test_files_are_not_searched_for_every_file(spark, tables, params, monkeypatc
     assert {r.status for r in log.collect()} == {"FAILED"} and log.count() == 500
 
 
+def test_many_files_are_looked_up_by_few_tasks(spark, tmp_path):
+    os.makedirs(tmp_path / "csv")
+    sizes = {}
+    for n in range(120):
+        path = tmp_path / "csv" / f"f{n:03d}.csv"
+        path.write_text(f"{HEADER}\n{line(f'P{n}')}\n", encoding="utf-8")
+        sizes[str(path)] = path.stat().st_size
+    sc = spark.sparkContext
+    sc.setJobGroup("many-files", "many-files")
+    try:
+        assert csv_files.read_files(spark, sizes).rows.count() == 120
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("many-files") for s in tracker.getJobInfo(j).stageIds]
+    infos = [tracker.getStageInfo(s) for s in stages]
+    assert max(i.numTasks for i in infos if i) < 100
+
+
 def test_second_encoding(spark, tables, params, tmp_path):
     folder = str(tmp_path / "csv")
     put(folder, "u.csv", line("P1", title="专利"))
