@@ -148,6 +148,63 @@ def test_flag_duplicates(spark):
     ]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("start", [-3000, 1 << 62])
+def test_flag_duplicates_of_many_keys(spark, monkeypatch, start):
+    """Keys that are too many to broadcast: a bit for each id goes to the wide rows, which stay in place."""
+    k = F.col("id")
+    stage = spark.range(9000).select(
+        (k + start).alias("stage_id"), F.when(k % 50 == 7, None).otherwise("b1").alias("batch_id"),
+        F.when(k % 9 == 0, F.lit(" ")).when(k % 9 < 4, F.concat(F.lit("P"), (k / 7).cast("int").cast("string")))
+        .when(k % 9 == 5, F.concat(F.lit("p"), (k / 7).cast("int").cast("string"), F.lit(" ")))
+        .otherwise(F.concat(F.lit("Q"), k.cast("string"))).alias("patent_id"),
+        F.when(k % 11 == 0, 0).otherwise(1).alias("is_valid"), F.lit("").alias("invalid_reason"),
+    )
+    odd = stage.withColumn("patent_id", F.replace("patent_id", F.lit("P"), F.lit("Ｐ")))
+    columns = ("stage_id", "is_valid", "invalid_reason")
+    for rows in (stage, odd):
+        expected = values(dedup.flag_duplicates(rows, small=True), *columns)
+        assert 1000 < sum(r[1] == 0 for r in expected) < 8000
+        assert values(dedup.flag_duplicates(rows), *columns) == expected
+        with monkeypatch.context() as patch:
+            patch.setattr(dedup, "fits_broadcast", lambda keys: False)
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            try:
+                found = dedup.flag_duplicates(rows)
+                assert "Exchange hashpartitioning" not in plan_of(found)
+                assert values(found, *columns) == expected
+                patch.setattr(dedup, "MAX_BROADCAST_BYTES", 0)
+                found = dedup.flag_duplicates(rows)
+                assert "Exchange hashpartitioning" in plan_of(found)
+                assert values(found, *columns) == expected
+            finally:
+                spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_plain_keys_are_compared_as_text(spark):
+    """Any two plain texts are the same key by ``fold_plain`` as by the collation; no other text is plain."""
+    rng = random.Random(7)
+    signs = [chr(c) for c in range(32, 127)]
+    texts = [x + y for x in signs for y in signs] + [f"a{x}b" for x in signs]
+    texts += ["".join(rng.choice("aAbB19 -._/") for _ in range(rng.randint(0, 6))) for _ in range(5000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(~dedup.is_plain(F.col("t"))).isEmpty()
+    plain = dedup.fold_plain(F.col("t"))
+    pairs = df.groupBy(dedup.fold_key(F.col("t")).alias("k")).agg(F.collect_set(plain).alias("folds"))
+    assert pairs.where(F.size("folds") != 1).isEmpty()
+    assert pairs.count() == df.select(plain).distinct().count()
+    others = spark.createDataFrame([(t,) for t in ("é", "a\n", "\n", "a\tb", "\x7f", "Ｐ1", "a\x00")], "t string")
+    assert others.where(dedup.is_plain(F.col("t"))).isEmpty()
+    rows = [(1, "b1", "P1", 1, ""), (2, "b1", "p1 ", 1, "")]
+    assert "collationkey" not in plan_of(dedup.flag_duplicates(spark.createDataFrame(rows, STAGE)))
+    rows.append((3, "b1", "Ｐ1", 1, ""))
+    found = dedup.flag_duplicates(spark.createDataFrame(rows, STAGE))
+    assert values(found, "stage_id", "is_valid") == [(1, 1), (2, 0), (3, 0)]
+
+
 def test_keep_first(spark):
     rows = spark.createDataFrame(
         [(1, "f", 2, "late"), (1, "f", 1, "early"), (2, "f", 3, "only"), (None, "f", 4, "a"),
